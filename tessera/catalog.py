@@ -1,9 +1,666 @@
-"""All queries of the linkage engine by name, with their SQL."""
+"""All queries of the linkage engine by name, with their SQL where SQL can say them.
 
+Each query is a function of (spark, sf_dir); ``query`` registers it and, given
+``sql``, the tables of :mod:`tessera.plans.oracle` that the SQL reads.
+"""
 
-def queries() -> dict:
-    return {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def oracle_sql() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from tessera.functions import address, kernels, text
+from tessera.operators import blocking as B
+from tessera.operators import decide as D
+from tessera.operators import features as X
+from tessera.operators import metrics as M
+from tessera.operators import sampling as S
+from tessera.plans import oracle
+from tessera.plans.views import lines, records, table
+
+CFG = B.Blocking(rules=B.PREFIX | B.CITY_PREFIX | B.TOKEN, df_ratio=0.14, df_most=10**9, max_bucket=5, cap=5, rule_cap=2)
+DECISION = D.Decision()
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, *tables: str, **changed: str):
+    def put(fn):
+        _QUERIES[fn.__name__] = fn
+        if sql is not None:
+            _SQL[fn.__name__] = oracle.query(sql, *tables, **changed)
+        return fn
+
+    return put
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def rounded(rows: DataFrame, *cols: str) -> DataFrame:
+    return rows.withColumns({c: F.round(c, 6) for c in cols})
+
+
+# --- shared plans -----------------------------------------------------------
+
+
+def cleaned(spark, sf):
+    return B.clean(records(spark, sf))
+
+
+def sides(spark, sf):
+    rows = cleaned(spark, sf)
+    return rows.where("src = 0"), rows.where("src > 0")
+
+
+def truth(spark, sf):
+    rows = records(spark, sf)
+    a = rows.where("src = 0").select(F.col("id").alias("s1_id"), "true_name", "true_type", "country")
+    return a.join(rows.where("src > 0").select("id", "src", "true_name", "true_type", "country"), ["true_name", "true_type", "country"]).select("s1_id", "id", "src")
+
+
+def found(spark, sf, cfg=CFG):
+    return B.pairs(*sides(spark, sf), cfg)
+
+
+def kept(spark, sf):
+    return B.capped(found(spark, sf), CFG.cap)
+
+
+def scored(spark, sf):
+    rows = X.composite(X.light_features(kept(spark, sf), *sides(spark, sf)), groups=X.LIGHT_GROUPS)
+    return rows.withColumn("score", F.round("weighted_composite_score", 6))
+
+
+def labelled(spark, sf):
+    return scored(spark, sf).join(truth(spark, sf).select("s1_id", "id", F.lit(1).alias("t")), ["s1_id", "id"], "left").withColumn("label", F.coalesce("t", F.lit(0))).drop("t")
+
+
+def decided(spark, sf, cfg=DECISION):
+    return D.decisions(scored(spark, sf), cfg)
+
+
+def matched(spark, sf):
+    return decided(spark, sf).where("match_status = 'matched'").select(F.col("matched_s1_id").alias("s1_id"), "src", "id")
+
+
+def recorded(spark, sf):
+    return D.record_table(B.record_status(sides(spark, sf)[1], kept(spark, sf)), decided(spark, sf))
+
+
+def bench_sides(spark, sf):
+    rows = B.bench_clean(records(spark, sf))
+    none = F.lit(None).cast("string")
+    parsed = rows.withColumn("parts", address.parse_address("address", none, "state", "zip")).select(*[c for c in rows.columns if c != "state"], "parts.*")
+    parsed = parsed.drop("zip5").join(rows.select("id", "zip5"), "id").withColumn("city_norm", F.col("city"))
+    return parsed.where("src = 0"), parsed.where("src > 0")
+
+
+# --- text -------------------------------------------------------------------
+
+
+@query("SELECT id, name_norm, name_core, len(tokens) AS n_tokens FROM chunked", "chunked")
+def name_normalize(spark, sf):
+    return cleaned(spark, sf).select("id", "name_norm", "name_core", F.size("tokens").alias("n_tokens"))
+
+
+@query("SELECT id, array_to_string(list_sort(list_distinct(tokens)), ' ') AS tokens FROM chunked", "chunked")
+def name_tokens(spark, sf):
+    return cleaned(spark, sf).select("id", F.array_join(F.array_sort(F.array_distinct("tokens")), " ").alias("tokens"))
+
+
+@query(f"SELECT id, {oracle.missing('name')} AS name_missing, {oracle.placeholder('address')} AS address_placeholder, {oracle.missing('category')} AS category_missing, {oracle.missing('phone')} AS phone_missing FROM rec", "rec")
+def missing_flags(spark, sf):
+    rows = records(spark, sf)
+    return rows.select("id", text.is_missing(F.col("name")).alias("name_missing"), text.is_placeholder(F.col("address")).alias("address_placeholder"), text.is_missing(F.col("category")).alias("category_missing"), text.is_missing(F.col("phone")).alias("phone_missing"))
+
+
+@query(f"SELECT doc_id, {oracle.sq('line')} AS squashed FROM line", "line")
+def squash_lines(spark, sf):
+    return lines(spark, sf).select("doc_id", text.squash(F.col("line")).alias("squashed"))
+
+
+@query(
+    r"""SELECT doc_id, array_to_string(list_filter(w, lambda t: regexp_matches(t, '[a-z]')), ' ') AS latin,
+    array_to_string(list_filter(w, lambda t: NOT regexp_matches(t, '[a-z]') AND regexp_matches(t, '\p{L}')), ' ') AS other
+    FROM (SELECT doc_id, string_split_regex(lower(line), '[^\p{L}\p{M}\p{N}]+') AS w FROM line)""",
+    "line",
+)
+def script_split(spark, sf):
+    latin, other = text.split_scripts(F.col("line"))
+    return lines(spark, sf).select("doc_id", F.array_join(latin, " ").alias("latin"), F.array_join(other, " ").alias("other"))
+
+
+@query("SELECT id, phone10, phone7 FROM fields", "fields")
+def phone_normalize(spark, sf):
+    return B.bench_clean(records(spark, sf)).select("id", "phone10", "phone7")
+
+
+@query("SELECT id, zip5, substring(zip5, 1, 3) AS zip3 FROM fields", "fields")
+def zip_normalize(spark, sf):
+    return B.bench_clean(records(spark, sf)).select("id", "zip5", "zip3")
+
+
+@query(
+    f"SELECT id, coalesce({oracle.cased(oracle.sq('state'), oracle.vocab.STATES)}, CASE WHEN upper({oracle.sq('state')}) IN ({oracle.listed(sorted(set(oracle.vocab.STATES.values())))}) THEN upper({oracle.sq('state')}) END) AS state FROM rec",
+    "rec",
+)
+def state_lookup(spark, sf):
+    return records(spark, sf).select("id", text.state(F.col("state")).alias("state"))
+
+
+_SINGLE = "CASE WHEN length(t) > 3 AND t LIKE '%ies' THEN regexp_replace(t, 'ies$', 'y') WHEN length(t) > 3 AND t LIKE '%sses' THEN regexp_replace(t, 'es$', '') WHEN length(t) > 3 AND regexp_matches(t, 's$') AND NOT regexp_matches(t, '(ss|us|is)$') THEN regexp_replace(t, 's$', '') ELSE t END"
+
+
+@query(
+    f"SELECT id, CASE WHEN NOT {oracle.missing('category')} THEN coalesce({oracle.cased('sq', oracle.vocab.CATEGORIES)}, {oracle.cased('single', oracle.vocab.CATEGORIES)}, single) END AS category "
+    f"FROM (SELECT *, array_to_string(list_transform(string_split(sq, ' '), lambda t: {_SINGLE}), ' ') AS single FROM (SELECT *, {oracle.sq('category')} AS sq FROM rec))",
+    "rec",
+)
+def category_crosswalk(spark, sf):
+    return records(spark, sf).select("id", text.category(F.col("category")).alias("category"))
+
+
+@query("SELECT id, CASE WHEN lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180 THEN lat END AS lat, CASE WHEN lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180 THEN lon END AS lon FROM rec", "rec")
+def lat_lon(spark, sf):
+    lat, lon = text.lat_lon(F.col("lat").cast("string"), F.col("lon").cast("string"))
+    return records(spark, sf).select("id", lat.alias("lat"), lon.alias("lon"))
+
+
+@query("SELECT id, array_to_string(localities, '|') AS localities, city_norm, len(localities) AS n FROM clean", "clean")
+def locality_candidates(spark, sf):
+    return cleaned(spark, sf).select("id", F.array_join("localities", "|").alias("localities"), "city_norm", F.size("localities").alias("n"))
+
+
+@query("SELECT id, state_norm FROM clean", "clean")
+def trailing_region(spark, sf):
+    return cleaned(spark, sf).select("id", "state_norm")
+
+
+@query(
+    r"""SELECT page_id, CASE WHEN length(h) >= 5 THEN h END AS host, CASE WHEN length(h) >= 5 THEN array_to_string(list_slice(string_split(h, '.'), -2, -1), '.') END AS suffix
+    FROM (SELECT page_id, regexp_replace(regexp_extract(lower(url), '([a-z0-9-]+(?:\.[a-z0-9-]+)+)', 1), '^www\.', '') AS h FROM pages)"""
+)
+def domain_extract(spark, sf):
+    host = text.domain(F.col("url"))
+    return table(spark, sf, "pages").select("page_id", host.alias("host"), F.when(host.isNotNull(), text.domain_suffix(host)).alias("suffix"))
+
+
+@query()
+def address_parse(spark, sf):
+    none = F.lit(None).cast("string")
+    return records(spark, sf).select("id", address.parse_address("address", none, "state", "zip").alias("p")).select("id", "p.*")
+
+
+# --- blocking ---------------------------------------------------------------
+
+
+@query("SELECT token, df FROM df", "df")
+def token_df(spark, sf):
+    return B.token_df(sides(spark, sf)[0])
+
+
+@query("SELECT token, df FROM rare", "rare")
+def informative_tokens(spark, sf):
+    return B.informative(sides(spark, sf)[0], CFG)
+
+
+@query("SELECT bit, key, id FROM keys", "keys")
+def block_keys(spark, sf):
+    s1, others = sides(spark, sf)
+    return B.keys(s1, CFG, B.informative(s1, CFG)).unionByName(B.keys(others, CFG))
+
+
+@query("SELECT bit, key, count(*) AS n FROM keys WHERE src = 0 GROUP BY bit, key HAVING count(*) > {bucket}", "keys")
+def hot_buckets(spark, sf):
+    s1, _ = sides(spark, sf)
+    return B.hot_buckets(B.keys(s1, CFG, B.informative(s1, CFG)), CFG)
+
+
+def _one(rule: int):
+    def run(spark, sf):
+        cfg = B.Blocking(**{**CFG.__dict__, "rules": rule})
+        return found(spark, sf, cfg).select("s1_id", "id")
+
+    return run
+
+
+def _rule(name: str, rule: int, sql: str | None):
+    fn = _one(rule)
+    fn.__name__ = name
+    query(sql, *(["found"] if sql else []))(fn)
+
+
+_rule("cand_prefix", B.PREFIX, "SELECT s1_id, id FROM found WHERE mask & 1 <> 0")
+_rule("cand_city_prefix", B.CITY_PREFIX, "SELECT s1_id, id FROM found WHERE mask & 2 <> 0")
+_rule("cand_shared_token", B.TOKEN, "SELECT s1_id, id FROM found WHERE mask & 4 <> 0")
+_rule("cand_phonetic", B.PHONETIC, None)
+
+
+@query("SELECT a.id AS s1_id, b.id FROM (SELECT id, regexp_replace(id, '^S1-', '') AS k FROM s1) a JOIN (SELECT id, (k - k % 3)::VARCHAR AS k FROM oth) b ON a.k = b.k", "s1", "oth")
+def cand_entity_id(spark, sf):
+    """The exact-id rule: records that name the reference entity next to them."""
+    s1, others = sides(spark, sf)
+    cfg = B.Blocking(**{**CFG.__dict__, "rules": B.ENTITY_ID})
+    right = others.select(F.lit(B.ENTITY_ID).cast("long").alias("bit"), F.concat(F.lit("S1-"), F.col("k") - F.col("k") % 3).alias("key"), "id")
+    return B.keys(s1, cfg).withColumnRenamed("id", "s1_id").join(right, ["bit", "key"]).select("s1_id", "id")
+
+
+@query("SELECT s1_id, src, id, mask, token_hits FROM found", "found")
+def cand_union_bitmask(spark, sf):
+    return found(spark, sf)
+
+
+@query("SELECT s1_id, src, id, mask FROM kept", "kept")
+def cand_capped(spark, sf):
+    return kept(spark, sf).select("s1_id", "src", "id", "mask")
+
+
+_NARROW = """
+h AS (SELECT f.*, (len(q.query) = 0 OR list_has_any(q.query, a.tokens)) AS shares, count(*) OVER r AS n0,
+  sum(CASE WHEN mask & 2 <> 0 THEN 1 ELSE 0 END) OVER r AS h2, sum(CASE WHEN mask & 1 <> 0 THEN 1 ELSE 0 END) OVER r AS h1, sum(token_hits) OVER r AS h4
+  FROM found f JOIN (SELECT id, list_distinct(list_filter(tokens, lambda t: length(t) >= 3)) AS query FROM oth) q ON f.id = q.id JOIN s1 a ON f.s1_id = a.id WINDOW r AS (PARTITION BY f.src, f.id)),
+a0 AS (SELECT *, n0 <= {cap} AS d0, mask AS m0 FROM h)"""
+
+
+def _narrow_sql() -> str:
+    parts, prev = [_NARROW], "a0"
+    for k, bit in enumerate((2, 1, 4)):
+        parts.append(
+            f"b{k} AS (SELECT *, NOT d{k} AND h{bit} > 2 AND sum(CASE WHEN m{k} & {bit} <> 0 AND shares THEN 1 ELSE 0 END) OVER (PARTITION BY src, id) > 0 AS o{k} FROM {prev}),\n"
+            f"c{k} AS (SELECT *, CASE WHEN o{k} AND m{k} & {bit} <> 0 AND NOT shares THEN m{k} - {bit} ELSE m{k} END AS m{k + 1} FROM b{k}),\n"
+            f"a{k + 1} AS (SELECT *, d{k} OR (o{k} AND count(*) OVER (PARTITION BY src, id) <= {{cap}}) AS d{k + 1} FROM c{k} WHERE m{k + 1} <> 0)"
+        )
+        prev = f"a{k + 1}"
+    return ",\n".join(parts)
+
+
+@query(", " + _narrow_sql() + " SELECT s1_id, src, id, m3 AS mask FROM a3", "found", "s1", "oth")
+def cand_narrowed(spark, sf):
+    return B.narrowed(found(spark, sf), *sides(spark, sf), CFG).select("s1_id", "src", "id", "mask")
+
+
+@query(
+    """, placed AS (SELECT country_norm AS country, name_core, id, row_number() OVER (PARTITION BY country_norm ORDER BY name_core, id) - 1 AS place FROM s1 WHERE name_core IS NOT NULL AND country_norm IS NOT NULL),
+    low AS (SELECT o.id, o.src, o.country_norm AS country, (SELECT count(*) FROM placed p WHERE p.country = o.country_norm AND p.name_core < o.name_core) AS low FROM oth o WHERE o.name_core IS NOT NULL AND o.country_norm IS NOT NULL)
+    SELECT p.id AS s1_id, low.src::BIGINT AS src, low.id, p.place - low.low AS gap FROM low JOIN placed p ON p.country = low.country AND abs(p.place - low.low) <= 3""",
+    "s1",
+    "oth",
+)
+def cand_sorted_neighborhood(spark, sf):
+    return B.neighborhood(*sides(spark, sf), 3).select("s1_id", "src", "id", "gap")
+
+
+@query()
+def cand_fallback(spark, sf):
+    s1, others = sides(spark, sf)
+    return B.fallback(s1, others, _one(B.PREFIX)(spark, sf), CFG)
+
+
+@query("SELECT id, src, candidate_count, reasons, status FROM status", "status")
+def record_status(spark, sf):
+    return B.record_status(sides(spark, sf)[1], kept(spark, sf))
+
+
+@query("SELECT t.src, count(*) AS n_true, count(f.id) AS n_found, round(count(f.id) / count(*), 6) AS recall FROM truth t LEFT JOIN found f ON t.s1_id = f.s1_id AND t.id = f.id GROUP BY t.src", "truth", "found")
+def blocking_recall(spark, sf):
+    return B.recall(truth(spark, sf), found(spark, sf))
+
+
+@query("SELECT t.s1_id, t.id, t.src FROM truth t ANTI JOIN found f ON t.s1_id = f.s1_id AND t.id = f.id", "truth", "found")
+def blocking_missed(spark, sf):
+    return B.missed(truth(spark, sf), found(spark, sf))
+
+
+@query(
+    """SELECT rule, count(*) AS candidates, count(won) AS matched FROM (
+    SELECT unnest(list_filter([CASE WHEN mask & 1 <> 0 THEN 'country_prefix' END, CASE WHEN mask & 2 <> 0 THEN 'country_city_prefix' END, CASE WHEN mask & 4 <> 0 THEN 'shared_token' END], lambda x: x IS NOT NULL)) AS rule, m.id AS won
+    FROM kept k LEFT JOIN matched m ON k.s1_id = m.s1_id AND k.src = m.src AND k.id = m.id) GROUP BY rule""",
+    "kept",
+    "matched",
+)
+def rule_attribution(spark, sf):
+    return D.rule_attribution(kept(spark, sf), decided(spark, sf), B.NAMES)
+
+
+@query("SELECT a.id AS s1_id, b.id, bit_or(a.bit)::BIGINT AS mask FROM benchkeys a JOIN (SELECT *, count(*) OVER (PARTITION BY bit, key) AS n FROM benchkeys WHERE src > 0) b ON a.bit = b.bit AND a.key = b.key WHERE a.src = 0 AND b.n <= 40 GROUP BY ALL", "benchkeys")
+def bench_candidates(spark, sf):
+    rows = B.bench_clean(records(spark, sf))
+    return B.bench_pairs(rows.where("src = 0"), rows.where("src > 0"), skip=("soundex",))
+
+
+@query(
+    """SELECT s1_id, id FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY id) AS p FROM (SELECT DISTINCT a.id AS s1_id, b.id FROM (SELECT * FROM wide WHERE src = 0) a
+    JOIN (SELECT *, count(*) OVER (PARTITION BY bit, key) AS n, row_number() OVER (PARTITION BY bit, key ORDER BY id) AS place FROM wide WHERE src > 0) b ON a.bit = b.bit AND a.key = b.key WHERE n <= 400 AND place <= 8)) WHERE p <= 32""".replace(
+        "FROM wide",
+        "FROM (SELECT 1::BIGINT AS bit, country_norm || '|' || substring(name_core, 1, 8) AS key, id, src FROM clean WHERE country_norm IS NOT NULL AND name_core IS NOT NULL UNION ALL SELECT 2, country_norm || '|' || city_norm || '|' || substring(name_core, 1, 8), id, src FROM clean WHERE country_norm || city_norm || name_core IS NOT NULL UNION ALL SELECT 4, concat_ws('|', country_norm, token), id, src FROM (SELECT id, src, country_norm, unnest(list_distinct(list_filter(tokens, lambda t: length(t) >= 3))) AS token FROM clean))",
+    ),
+    "clean",
+)
+def scale_candidates(spark, sf):
+    return B.scale_pairs(*sides(spark, sf), CFG)
+
+
+# --- similarity and features ------------------------------------------------
+
+
+def _names(spark, sf):
+    s1, others = sides(spark, sf)
+    return kept(spark, sf).select("s1_id", "id").join(s1.select(F.col("id").alias("s1_id"), F.col("name_norm").alias("a")), "s1_id").join(others.select("id", F.col("name_norm").alias("b")), "id")
+
+
+_PAIRS = "FROM kept k JOIN s1 a ON k.s1_id = a.id JOIN oth b ON k.id = b.id"
+
+
+@query(f"SELECT k.s1_id, k.id, round(1 - levenshtein(a.name_norm, b.name_norm) / greatest(length(a.name_norm), length(b.name_norm)), 6) AS ratio {_PAIRS}", "kept", "s1", "oth")
+def sim_levenshtein(spark, sf):
+    return rounded(_names(spark, sf).select("s1_id", "id", kernels.levenshtein_ratio(F.col("a"), F.col("b")).alias("ratio")), "ratio")
+
+
+@query(f"SELECT k.s1_id, k.id, round(jaro_winkler_similarity(a.name_norm, b.name_norm), 6) AS ratio {_PAIRS}", "kept", "s1", "oth")
+def sim_jaro_winkler(spark, sf):
+    return rounded(_names(spark, sf).select("s1_id", "id", kernels.jaro_winkler("a", "b").alias("ratio")), "ratio")
+
+
+@query()
+def sim_token_set(spark, sf):
+    return _names(spark, sf).select("s1_id", "id", kernels.token_set_ratio("a", "b").alias("ratio"))
+
+
+@query()
+def sim_token_sort(spark, sf):
+    return _names(spark, sf).select("s1_id", "id", kernels.token_sort_ratio("a", "b").alias("ratio"))
+
+
+@query(
+    f"SELECT k.s1_id, k.id, round(len(list_intersect(a.tokens, b.tokens)) / len(list_distinct(list_concat(a.tokens, b.tokens))), 6) AS jaccard, round(len(list_intersect(a.tokens, b.tokens)) / least(len(list_distinct(a.tokens)), len(list_distinct(b.tokens))), 6) AS containment {_PAIRS}",
+    "kept",
+    "s1",
+    "oth",
+)
+def sim_jaccard_containment(spark, sf):
+    rows = _names(spark, sf).withColumns({"a": text.tokens(F.col("a")), "b": text.tokens(F.col("b"))})
+    return rounded(rows.select("s1_id", "id", X.jaccard(F.col("a"), F.col("b")).alias("jaccard"), X.overlap(F.col("a"), F.col("b")).alias("containment")), "jaccard", "containment")
+
+
+@query(
+    """, w AS (SELECT id, string_split(name_norm, ' ') AS w FROM clean WHERE name_norm IS NOT NULL),
+    tf AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS term FROM w) GROUP BY id, term),
+    df2 AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    u AS (SELECT id, term, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM w)) / (1 + df)) + 1) AS u FROM tf JOIN df2 USING (term)),
+    n AS (SELECT id, sqrt(sum(u * u)) AS n FROM u GROUP BY id)
+    SELECT k.s1_id, k.id, round(coalesce((SELECT sum(x.u * y.u) FROM u x JOIN u y ON x.term = y.term WHERE x.id = k.s1_id AND y.id = k.id) / (p.n * q.n), 0), 6) AS cosine FROM kept k JOIN n p ON p.id = k.s1_id JOIN n q ON q.id = k.id""",
+    "clean",
+    "kept",
+)
+def sim_tfidf(spark, sf):
+    return rounded(X.tfidf_cosine(kept(spark, sf), cleaned(spark, sf).select("id", "name_norm")), "cosine")
+
+
+@query(
+    f"SELECT k.s1_id, k.id, round(2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))), 4) AS km {_PAIRS}", "kept", "s1", "oth"
+)
+def haversine(spark, sf):
+    s1, others = sides(spark, sf)
+    rows = kept(spark, sf).join(s1.select(F.col("id").alias("s1_id"), F.col("lat").alias("la"), F.col("lon").alias("lo")), "s1_id").join(others.select("id", "lat", "lon"), "id")
+    return rows.select("s1_id", "id", F.round(kernels.haversine_km(F.col("la"), F.col("lo"), F.col("lat"), F.col("lon")), 4).alias("km"))
+
+
+@query("SELECT s1_id, id, city_exact, state_exact, country_exact FROM light", "light")
+def exact_flags(spark, sf):
+    return X.light_features(kept(spark, sf), *sides(spark, sf)).select("s1_id", "id", "city_exact", "state_exact", "country_exact")
+
+
+@query("SELECT s1_id, id, round(wcs_name, 6) AS wcs_name, round(wcs_address, 6) AS wcs_address, round(wcs_city_state, 6) AS wcs_city_state, round(wcs_country, 6) AS wcs_country, score FROM scored", "scored")
+def composite_score(spark, sf):
+    parts = ("wcs_name", "wcs_address", "wcs_city_state", "wcs_country")
+    return rounded(scored(spark, sf).select("s1_id", "id", *parts, "score"), *parts)
+
+
+@query()
+def pair_features_er(spark, sf):
+    return X.composite(X.entity_features(kept(spark, sf), *sides(spark, sf)))
+
+
+def _bench(spark, sf):
+    a, b = bench_sides(spark, sf)
+    return X.bench_features(B.bench_pairs(a, b), a, b)
+
+
+@query()
+def pair_features_bench(spark, sf):
+    a, b = bench_sides(spark, sf)
+    found_ = B.bench_pairs(a, b)
+    names = a.select("id", "name_norm").unionByName(b.select("id", "name_norm"))
+    return X.bench_features(found_, a, b).join(X.tfidf_cosine(found_, names).withColumnRenamed("cosine", "name_tfidf_cos"), ["s1_id", "id"])
+
+
+# --- decisions --------------------------------------------------------------
+
+_DECIDED = "SELECT src, id, matched_s1_id, round(probability, 6) AS probability, second_s1_id, round(second_probability, 6) AS second_probability, n_scored_candidates, match_status, decision_notes FROM decided"
+_DECIDED_COLS = ("src", "id", "matched_s1_id", "probability", "second_s1_id", "second_probability", "n_scored_candidates", "match_status", "decision_notes")
+
+
+@query(_DECIDED, "decided")
+def decision_tiers(spark, sf):
+    return decided(spark, sf).select(*_DECIDED_COLS)
+
+
+@query(_DECIDED, "decided", high="0.6", low="0.36", margin="0.01", floor="0.95")
+def decision_veto(spark, sf):
+    return decided(spark, sf, D.Decision(0.6, 0.36, 0.01, floor=0.95)).select(*_DECIDED_COLS)
+
+
+@query("SELECT s1_id, src, id, score FROM (SELECT *, max(score) OVER (PARTITION BY s1_id, src) AS best FROM scored WHERE score >= 0.5) WHERE score >= best - 0.1::DOUBLE", "scored")
+def margin_dedup(spark, sf):
+    return D.margin_dedup(scored(spark, sf), 0.5, 0.1).select("s1_id", "src", "id", "score")
+
+
+@query(
+    """SELECT e.id AS s1_id, coalesce(string_agg(DISTINCT p.id, '|' ORDER BY p.id) FILTER (p.src = 1), '') AS source2_ids, coalesce(string_agg(DISTINCT p.id, '|' ORDER BY p.id) FILTER (p.src = 2), '') AS source3_ids,
+    count(DISTINCT p.id) FILTER (p.src = 1) AS source2_n, count(DISTINCT p.id) FILTER (p.src = 2) AS source3_n, count(DISTINCT p.id) AS total FROM s1 e LEFT JOIN (SELECT * FROM scored WHERE score >= 0.7) p ON e.id = p.s1_id GROUP BY e.id""",
+    "s1",
+    "scored",
+)
+def entity_table_pivot(spark, sf):
+    return D.entity_table(sides(spark, sf)[0], scored(spark, sf).where("score >= 0.7"), [1, 2])
+
+
+@query("SELECT e.id AS s1_id, coalesce(string_agg(DISTINCT p.id, ',' ORDER BY p.id), '') AS matched_ids FROM s1 e LEFT JOIN matched p ON e.id = p.s1_id GROUP BY e.id", "s1", "matched")
+def entity_rollup(spark, sf):
+    return D.entity_rollup(sides(spark, sf)[0], matched(spark, sf))
+
+
+@query("SELECT * FROM record", "record")
+def record_table(spark, sf):
+    return recorded(spark, sf)
+
+
+@query("SELECT src, match_status, count(*) AS n, sum(candidate_count)::BIGINT AS candidates FROM record GROUP BY ROLLUP (src, match_status)", "record")
+def status_counts_rollup(spark, sf):
+    return D.status_counts(recorded(spark, sf))
+
+
+@query("SELECT least(20, floor((coalesce(probability, -1) + 1) / 0.1::DOUBLE + 1e-12)::INT + 1)::INT AS bin, count(*) AS n FROM record GROUP BY 1", "record")
+def prob_histogram(spark, sf):
+    return D.histogram(recorded(spark, sf))
+
+
+@query(
+    """SELECT count(*) AS records, count_if(match_status = 'matched') AS matched, count_if(match_status = 'manual_review') AS manual_review, count_if(match_status = 'ambiguous') AS ambiguous, count_if(match_status = 'unmatched') AS unmatched,
+    count_if(candidate_count = 0) AS without_candidates, round(count_if(match_status = 'matched') / count(*), 6) AS match_rate, round(avg(candidate_count), 6) AS mean_candidates, max(candidate_count) AS most_candidates FROM record""",
+    "record",
+)
+def run_report(spark, sf):
+    return D.run_report(recorded(spark, sf))
+
+
+# --- metrics ----------------------------------------------------------------
+
+
+@query("SELECT tp, fp, fn, precision, recall, f05 FROM swept WHERE abs(threshold - 0.7) < 1e-6", "swept")
+def f05_flat(spark, sf):
+    return M.counts_at(labelled(spark, sf), F.lit(0.7)).select("tp", "fp", "fn", "precision", "recall", "f05")
+
+
+@query(
+    """SELECT round(avg(f), 6) AS f05_macro, round(sum(tp) / sum(n_pred), 6) AS precision, round(sum(tp) / sum(n_true), 6) AS recall, count_if(f = 1) AS n_perfect, round(avg(n_pred), 6) AS mean_pred FROM (
+    SELECT *, CASE WHEN n_pred = 0 AND n_true = 0 THEN 1 WHEN tp = 0 THEN 0 ELSE 1.25 * (tp / n_pred) * (tp / n_true) / (0.25 * (tp / n_pred) + tp / n_true) END AS f FROM tally)""",
+    "tally",
+)
+def f05_macro(spark, sf):
+    return M.macro(sides(spark, sf)[0], matched(spark, sf), truth(spark, sf))
+
+
+@query("SELECT threshold, tp, fp, fn, precision, recall, f05 FROM swept", "swept")
+def threshold_sweep(spark, sf):
+    return M.sweep(labelled(spark, sf))
+
+
+@query("SELECT max(threshold) AS threshold, max(f05) AS f05 FROM swept WHERE f05 = (SELECT max(f05) FROM swept)", "swept")
+def threshold_best(spark, sf):
+    return M.best_threshold(M.sweep(labelled(spark, sf)))
+
+
+@query(
+    """SELECT (SELECT max(threshold) FROM swept WHERE f05 = (SELECT max(f05) FROM swept)) AS max_f05,
+    (SELECT min(threshold) FROM ok WHERE recall = (SELECT max(recall) FROM ok)) AS at_precision""".replace("FROM ok", "FROM (SELECT * FROM swept WHERE precision >= 0.2 AND tp + fp >= 5)"),
+    "swept",
+)
+def threshold_recommended(spark, sf):
+    return M.recommended(M.sweep(labelled(spark, sf)), 0.2)
+
+
+@query(
+    """SELECT threshold, round(greatest(0, mid - half), 6) AS low, round(least(1, mid + half), 6) AS high FROM (SELECT threshold, n, (p + 3.8416 / (2 * n)) / (1 + 3.8416 / n) AS mid,
+    1.96 * sqrt(p * (1 - p) / n + 3.8416 / (4 * n * n)) / (1 + 3.8416 / n) AS half FROM (SELECT threshold, (tp + fp)::DOUBLE AS n, tp / (tp + fp) AS p FROM swept WHERE tp + fp > 0))""",
+    "swept",
+)
+def wilson(spark, sf):
+    rows = M.sweep(labelled(spark, sf)).where("tp + fp > 0")
+    low, high = M.wilson(F.col("tp"), F.col("tp") + F.col("fp"))
+    return rows.select("threshold", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
+
+
+@query(
+    """SELECT src, count_if(score >= 0.6 AND label = 1) AS tp, count_if(score >= 0.6 AND label = 0) AS fp, count_if(score < 0.6 AND label = 1) AS fn FROM labelled WHERE score IS NOT NULL GROUP BY src""", "labelled"
+)
+def evaluate_by_source(spark, sf):
+    return M.counts_at(labelled(spark, sf).where("score IS NOT NULL"), F.lit(0.6), ("src",)).select("src", "tp", "fp", "fn")
+
+
+# --- splits and samples -----------------------------------------------------
+
+_HASH = "('0x' || substring(md5('{salt}:' || {key}), 1, 8))::BIGINT / 4294967296.0::DOUBLE"
+
+
+@query("SELECT id, CASE WHEN b >= 0.2 THEN 'train' WHEN b < 0.1 THEN 'tune' ELSE 'report' END AS split FROM (SELECT id, " + _HASH.replace("{salt}", "er-split").replace("{key}", "id") + " AS b FROM s1)", "s1")
+def md5_split(spark, sf):
+    return S.entity_split(sides(spark, sf)[0]).select("id", "split")
+
+
+@query(
+    "SELECT s1_id, id, label, CASE WHEN p < 0.6 THEN 'train' WHEN p < 0.8 THEN 'val' ELSE 'test' END AS split FROM (SELECT *, percent_rank() OVER (PARTITION BY label ORDER BY md5('42:' || s1_id || '|' || id)) AS p FROM labelled)", "labelled"
+)
+def stratified_split(spark, sf):
+    return S.stratified_split(labelled(spark, sf), F.concat_ws("|", "s1_id", "id")).select("s1_id", "id", "label", "split")
+
+
+@query(
+    """, r AS (SELECT s.*, coalesce(country_exact > 0 AND city_exact > 0, false) AS near FROM scored s ANTI JOIN truth t ON s.s1_id = t.s1_id AND s.id = t.id),
+    a AS (SELECT *, 'local' AS band FROM r WHERE near ORDER BY score DESC NULLS LAST, s1_id, id LIMIT 35), b AS (SELECT *, 'hard' AS band FROM r WHERE NOT near ORDER BY score DESC NULLS LAST, s1_id, id LIMIT 35),
+    ab AS (SELECT * FROM a UNION ALL SELECT * FROM b), c AS (SELECT r.*, 'random' AS band FROM r ANTI JOIN ab ON r.s1_id = ab.s1_id AND r.id = ab.id ORDER BY md5('42:' || r.s1_id || '|' || r.id), r.s1_id, r.id LIMIT 30)
+    SELECT s1_id, id, band FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC NULLS LAST, s1_id, id) AS p FROM (SELECT * FROM ab UNION ALL SELECT * FROM c)) WHERE p <= 40""",
+    "scored",
+    "truth",
+)
+def hard_negatives(spark, sf):
+    return S.hard_negatives(scored(spark, sf), truth(spark, sf), 100)
+
+
+@query()
+def silver_labels(spark, sf):
+    return S.silver_labels(_bench(spark, sf)).select("s1_id", "id", F.round("rule_score", 6).alias("rule_score"), "stratum", "silver_label")
+
+
+@query()
+def labeling_sheet(spark, sf):
+    return S.labeling_sheet(S.silver_labels(_bench(spark, sf)))
+
+
+@query("SELECT s1_id, src, id, score FROM scored WHERE score >= 0.5 ORDER BY md5('42:' || s1_id || '|' || id), s1_id, id LIMIT 200", "scored")
+def accepted_sample(spark, sf):
+    return S.review_sample(scored(spark, sf), 0.5).select("s1_id", "src", "id", "score")
+
+
+@query("SELECT s1_id, id, CASE WHEN score > 0.8 THEN 1 WHEN score < 0.4 THEN 0 END::INT AS label FROM scored", "scored")
+def reviewed_label_merge(spark, sf):
+    rows = scored(spark, sf).select("s1_id", "id", "score")
+    sheet = rows.select("s1_id", "id", F.when(F.col("score") > 0.8, 1).when(F.col("score") < 0.4, 0).alias("label"))
+    return S.reviewed(rows, sheet.unionByName(sheet)).select("s1_id", "id", "label")
+
+
+@query(
+    ", drawn AS (SELECT id FROM s1 WHERE " + _HASH.replace("{salt}", "s1-42").replace("{key}", "id") + " < 0.3) SELECT id, src FROM oth WHERE id IN (SELECT t.id FROM truth t JOIN drawn ON t.s1_id = drawn.id) OR (id NOT IN (SELECT id FROM truth) AND "
+    + _HASH.replace("{salt}", "neg-42").replace("{key}", "id")
+    + " < 0.2)",
+    "s1",
+    "oth",
+    "truth",
+)
+def subsample(spark, sf):
+    s1, others = sides(spark, sf)
+    return S.subsample(s1, others, truth(spark, sf), 0.3, 0.2)[1].select("id", "src")
+
+
+# --- model, generator, streams ----------------------------------------------
+
+
+@query()
+def gbdt_scores(spark, sf):
+    from tessera.operators import model
+
+    rows = X.entity_features(kept(spark, sf), *sides(spark, sf)).join(labelled(spark, sf).select("s1_id", "id", "label"), ["s1_id", "id"])
+    rows = S.stratified_split(rows, F.concat_ws("|", "s1_id", "id"))
+    return model.score(model.fit(rows, X.ENTITY_FEATURES, rounds=10), rows, X.ENTITY_FEATURES)
+
+
+@query()
+def synthetic_sources(spark, sf):
+    from tessera.sources import synth
+
+    rows, _ = synth.generate(spark, 1200)
+    return rows
+
+
+@query()
+def synthetic_linkage(spark, sf):
+    """Quality on generated records of known truth, all rules and the fallback on."""
+    from tessera.sources import synth
+
+    rows, true = synth.generate(spark, 1200)
+    clean = B.clean(rows)
+    s1, others = clean.where("src = 0"), clean.where("src > 0")
+    cfg = B.Blocking(df_ratio=0.05, max_bucket=200)
+    first = B.capped(B.pairs(s1, others, cfg), cfg.cap)
+    every = first.select("s1_id", "src", "id", "mask").unionByName(B.fallback(s1, others, first, cfg).withColumn("src", F.col("src").cast("long")))
+    pairs = X.composite(X.entity_features(every, s1, others)).withColumn("score", F.col("weighted_composite_score"))
+    won = D.decisions(pairs, D.Decision()).where("match_status = 'matched'").select(F.col("matched_s1_id").alias("s1_id"), "id")
+    return M.macro(s1, won, true)
+
+
+@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def event_windows(spark, sf):
+    """Beyond the linkage: tumbling windows, as the streaming module counts them."""
+    from tessera.streaming.link import windowed_counts
+
+    return windowed_counts(table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))).withColumn("start", F.col("start").cast("timestamp_ntz"))
