@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bpe_codec, common, exact_dedup, langid, licenses, lz_fingerprint, mixing, secret_scan, simhash, token_counts, token_store
+from tessera.sources.ship import ship
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
