@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe_codec, common, exact_dedup, langid, mixing, near_dup
+from tessera.sources.ship import ship
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,6 +21,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The model is learned from all labelled rows; ``lang`` itself is left as it came.
     """
+    ship(spark)
     model = langid.learn(docs.select("text", "lang"))
     found = langid.predict(docs, model, carry=tuple(docs.columns))
     return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
@@ -32,6 +34,7 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by 0.8 or more of five-word shingles stays: the one with the smallest doc_id."""
+    ship(spark)
     return near_dup.deduplicated(docs, shingle=5, threshold=0.8)
 
 
@@ -42,6 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, n_tokens, ids_sha256, decoded_sha256) of every row of the mix, by BPE encoding and decoding."""
+    ship(spark)
     return bpe_codec.digests(docs, public_tokenizers.path("word_bpe_49k.json"), carry=("source",))
 
 
