@@ -6,6 +6,7 @@ Each query is a function of (spark, sf_dir); ``query`` registers it and, given
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from tessera.operators import metrics as M
 from tessera.operators import sampling as S
 from tessera.plans import oracle
 from tessera.plans.views import lines, records, table
+from tessera.sources.ship import ship
 
 CFG = B.Blocking(rules=B.PREFIX | B.CITY_PREFIX | B.TOKEN, df_ratio=0.14, df_most=10**9, max_bucket=5, cap=5, rule_cap=2)
 DECISION = D.Decision()
@@ -30,7 +32,12 @@ _SQL: dict[str, str] = {}
 
 def query(sql: str | None = None, *tables: str, **changed: str):
     def put(fn):
-        _QUERIES[fn.__name__] = fn
+        @functools.wraps(fn)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        _QUERIES[fn.__name__] = shipped
         if sql is not None:
             _SQL[fn.__name__] = oracle.query(sql, *tables, **changed)
         return fn
