@@ -213,7 +213,11 @@ def folded(text: str) -> str:
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
-UNKNOWN = regex.compile(r"\p{Cn}")
+def too_new(text: str) -> bool:
+    """Whether the text has a character that this Python's Unicode tables lack: the pattern libraries may class it differently."""
+    return not text.isascii() and any(unicodedata.category(c) == "Cn" for c in text)
+
+
 ODD_BREAKS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 

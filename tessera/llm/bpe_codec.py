@@ -61,7 +61,7 @@ class Codec:
         for c, ws in zip(new, cut, strict=True):
             pairs = [self.words[w] for w in ws]
             self.cache[c] = (" ".join(p[0] for p in pairs), " ".join(p[1] for p in pairs))
-            if not c.isascii() and bpe.UNKNOWN.search(c):
+            if bpe.too_new(c):
                 self.bpe.odd.add(c)
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[str, str]]:

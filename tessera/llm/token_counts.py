@@ -23,7 +23,7 @@ from tessera.llm import bpe, common
 
 CACHE = 400_000
 #: White space next to white space, or other than a space or line feed: such texts aren't cut at spaces first.
-UNEVEN = regex.compile(rf"[{bpe.SPACE}][{bpe.SPACE}]|[\t\x0b\x0c\r\x85\xa0  -     　]")
+UNEVEN = regex.compile(rf"[{bpe.SPACE}][{bpe.SPACE}]|(?![ \n])[{bpe.SPACE}]")
 
 
 class Counter:

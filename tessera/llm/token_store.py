@@ -55,7 +55,7 @@ class Encoder:
     def chunk(self, text: str) -> bytes:
         model = self.model
         ids = [t.id for w in bpe.FIND_WORDS.findall(text) for t in model.tokenize(bpe.as_chars(w.encode()))]
-        if not text.isascii() and bpe.UNKNOWN.search(text):
+        if bpe.too_new(text):
             self.bpe.odd.add(text)
         return np.array(ids, "<u4").tobytes()
 

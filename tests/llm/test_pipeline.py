@@ -1,0 +1,27 @@
+"""The stages one after another, and each on odd input."""
+
+import corpus_pipeline
+
+
+def test_stages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "mixing", "bpe_encoding"]
+    rows = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, rows, "")
+        assert rows.columns == docs.columns
+    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").columns == ["doc_id", "source", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_clean_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert kept.count() == docs.where("text rlike '\\\\p{L}'").count()
+
+
+def test_empty_and_null_input(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for rows in ([], [(None, None, None, None, None), (1, "", None, None, 0)]):
+        docs = spark.createDataFrame(rows, schema)
+        for _, stage in corpus_pipeline.STAGES:
+            stage(spark, docs, "").collect()
