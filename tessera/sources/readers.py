@@ -39,7 +39,7 @@ def read_truth(spark: SparkSession, path: str, sep: str = "\t") -> tuple[DataFra
     rows = read_delimited(spark, path, sep)
     if rows.columns != ["source1_entity_id", "matched_entity_ids"]:
         raise ValueError(f"unexpected header: {rows.columns}")
-    ids = F.filter(F.transform(F.split(F.coalesce("matched_entity_ids", F.lit("")), ","), F.trim), lambda x: x != "")
+    ids = F.filter(F.transform(F.split(F.coalesce("matched_entity_ids", F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
     whole = rows.select(F.col("source1_entity_id").alias("s1_id"), ids.alias("ids"))
     return whole, whole.select("s1_id", F.explode("ids").alias("id")).distinct()
 
