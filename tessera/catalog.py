@@ -22,12 +22,15 @@ from tessera.operators import sampling as S
 from tessera.plans import oracle
 from tessera.plans.views import lines, records, table
 from tessera.sources.ship import ship
+from tessera.sources.staging import spread, stage
 
 CFG = B.Blocking(rules=B.PREFIX | B.CITY_PREFIX | B.TOKEN, df_ratio=0.14, df_most=10**9, max_bucket=5, cap=5, rule_cap=2)
 DECISION = D.Decision()
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
+#: What the running query has staged.
+_STAGED: dict[tuple[str, str], DataFrame] = {}
 
 
 def query(sql: str | None = None, *tables: str, **changed: str):
@@ -35,6 +38,7 @@ def query(sql: str | None = None, *tables: str, **changed: str):
         @functools.wraps(fn)
         def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship(spark)
+            _STAGED.clear()
             return fn(spark, sf_dir)
 
         _QUERIES[fn.__name__] = shipped
@@ -60,8 +64,22 @@ def rounded(rows: DataFrame, *cols: str) -> DataFrame:
 # --- shared plans -----------------------------------------------------------
 
 
+def staged(fn):
+    """A plan that a query reads from several sides: computed once for each query."""
+
+    @functools.wraps(fn)
+    def once(spark, sf):
+        key = (fn.__name__, sf)
+        if key not in _STAGED:
+            _STAGED[key] = stage(fn(spark, sf))
+        return _STAGED[key]
+
+    return once
+
+
+@staged
 def cleaned(spark, sf):
-    return B.clean(records(spark, sf))
+    return B.clean(spread(records(spark, sf)))
 
 
 def sides(spark, sf):
@@ -79,6 +97,7 @@ def found(spark, sf, cfg=CFG):
     return B.pairs(*sides(spark, sf), cfg)
 
 
+@staged
 def kept(spark, sf):
     return B.capped(found(spark, sf), CFG.cap)
 
