@@ -7,6 +7,7 @@ Each query is a function of (spark, sf_dir); ``query`` registers it and, given
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -674,16 +675,30 @@ def synthetic_linkage(spark, sf):
     from tessera.sources import synth
 
     rows, true = synth.generate(spark, 1200)
-    clean = B.clean(rows)
+    clean = stage(B.clean(stage(rows)))
     s1, others = clean.where("src = 0"), clean.where("src > 0")
     cfg = B.Blocking(df_ratio=0.05, max_bucket=200)
-    first = B.capped(B.pairs(s1, others, cfg), cfg.cap)
+    first = stage(B.capped(B.pairs(s1, others, cfg), cfg.cap))
     every = first.select("s1_id", "src", "id", "mask").unionByName(B.fallback(s1, others, first, cfg).withColumn("src", F.col("src").cast("long")))
-    pairs = X.composite(X.entity_features(every, s1, others)).withColumn("score", F.col("weighted_composite_score"))
+    pairs = stage(X.composite(X.entity_features(stage(every), s1, others)).withColumn("score", F.col("weighted_composite_score")))
     won = D.decisions(pairs, D.Decision()).where("match_status = 'matched'").select(F.col("matched_s1_id").alias("s1_id"), "id")
     return M.macro(s1, won, true)
 
 
+@query("SELECT * FROM record", "record")
+def streaming_link(spark, sf):
+    """The record table, made by a stream of the records in micro-batches."""
+    from tessera.sources.staging import shared_folder
+    from tessera.streaming import link
+
+    top = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    raw = records(spark, sf).where("src > 0").select("id", F.col("src").cast("long").alias("src"), "name", "address", "country")
+    raw.repartition(2).write.parquet(f"{top}/in")
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{top}/in")
+    link.start(stream, sides(spark, sf)[0], f"{top}/out", f"{top}/state", CFG, DECISION).awaitTermination()
+    return spark.read.parquet(f"{top}/out").drop("batch")
+
+
 @query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def event_windows(spark, sf):
     """Beyond the linkage: tumbling windows, as the streaming module counts them."""

@@ -14,7 +14,7 @@ def link_batch(s1: DataFrame, records: DataFrame, cfg: B.Blocking, decision: D.D
     """The record table of raw records (id, src, name, address, country) against cleaned ``s1``."""
     others = B.clean(records)
     found = B.capped(B.pairs(s1, others, cfg), cfg.cap)
-    scored = X.composite(X.light_features(found, s1, others), groups=X.LIGHT_GROUPS).withColumn("score", F.col("weighted_composite_score"))
+    scored = X.composite(X.light_features(found, s1, others), groups=X.LIGHT_GROUPS).withColumn("score", F.round("weighted_composite_score", 6))
     return D.record_table(B.record_status(others, found), D.decisions(scored, decision))
 
 
