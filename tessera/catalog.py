@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.functions import address, kernels, text
+from tessera.functions import address, kernels, text, worldwide
 from tessera.operators import blocking as B
 from tessera.operators import decide as D
 from tessera.operators import features as X
@@ -228,6 +228,57 @@ def address_parse(spark, sf):
     return records(spark, sf).select("id", address.parse_address("address", none, "state", "zip").alias("p")).select("id", "p.*")
 
 
+_WORLD = r"trim(regexp_replace(lower(strip_accents({x})), '[^\p{L}\p{M}\p{N}]+', ' ', 'g'))"
+_LISTS = "CAST([] AS VARCHAR[])"
+
+
+@query("SELECT doc_id, " + _WORLD.replace("{x}", "line") + " AS squashed FROM line", "line")
+def unicode_squash(spark, sf):
+    return lines(spark, sf).select("doc_id", worldwide.squash(F.col("line")).alias("squashed"))
+
+
+@query(
+    "SELECT id, norm, coalesce(nullif("
+    + oracle._tail(oracle._tail("norm", worldwide.LEGAL), worldwide.GENERIC)
+    + ", ''), norm) AS core FROM (SELECT id, CASE WHEN NOT "
+    + oracle.missing("name")
+    + " THEN nullif("
+    + _WORLD.replace("{x}", r"regexp_replace(lower(strip_accents(name)), '\b(?:d b a|a k a|f k a|dba|aka|fka)\b.*$', '', 's')")
+    + ", '') END AS norm FROM rec)",
+    "rec",
+)
+def unicode_name(spark, sf):
+    norm, core = worldwide.name(F.col("name"))
+    return records(spark, sf).select("id", norm.alias("norm"), core.alias("core"))
+
+
+@query(
+    f"""SELECT id, z AS zip, CASE WHEN regexp_matches(words[1], '^\\d+[a-z]?$') THEN words[1] END AS number, CASE WHEN len(street) > 0 THEN array_to_string(street[1:6], ' ') END AS street_core,
+    CASE WHEN len(chunks) > 1 THEN chunks[-1] ELSE list_filter(words, lambda t: z IS NULL OR t <> z)[-1] END AS city,
+    list_filter(chunks[2:len(chunks) - 1], lambda c: coalesce(list_contains(string_split(c, ' '), z), false) OR len(string_split(c, ' ')) <= 2)[-1] AS region
+    FROM (SELECT *, CASE WHEN len(own) > 0 THEN own ELSE plain END AS street FROM (
+      SELECT *, list_transform(list_filter(plain, lambda t: t NOT IN ({oracle.listed(worldwide.UNITS)})), lambda t: coalesce({oracle.cased("t", worldwide.STREET)}, t)) AS own FROM (
+        SELECT id, words, chunks, list_filter(words, lambda t: regexp_matches(t, '^\\d{{5,6}}$'))[1] AS z,
+          list_filter(string_split(chunks[1], ' '), lambda t: t NOT IN ({oracle.listed(worldwide.SCAFFOLD)})) AS plain FROM (
+          SELECT id, coalesce(list_filter(string_split({_WORLD.replace("{x}", "address")}, ' '), lambda t: t <> ''), {_LISTS}) AS words,
+            list_filter(list_transform(string_split(address, ','), lambda c: {_WORLD.replace("{x}", "c")}), lambda c: c <> '') AS chunks FROM rec))))""",
+    "rec",
+)
+def worldwide_address(spark, sf):
+    return records(spark, sf).select("id", *(c.alias(n) for n, c in worldwide.address(F.col("address")).items()))
+
+
+@query("SELECT id, substring(name_core, 1, 4) AS four, substring(name_core, 1, 8) AS eight FROM chunked", "chunked")
+def prefix_keys(spark, sf):
+    return cleaned(spark, sf).select("id", F.substring("name_core", 1, 4).alias("four"), F.substring("name_core", 1, 8).alias("eight"))
+
+
+@query()
+def phonetic_codes(spark, sf):
+    rows = cleaned(spark, sf).select("name_core").where("name_core IS NOT NULL").distinct()
+    return rows.select("name_core", kernels.soundex_of(F.col("name_core")).alias("soundex"), kernels.nysiis("name_core").alias("nysiis"))
+
+
 # --- blocking ---------------------------------------------------------------
 
 
