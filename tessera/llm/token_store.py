@@ -31,7 +31,9 @@ from tessera.llm import bpe, common
 MAX_BITS = 18
 EVERY = 128
 BLOCK_IDS = 1 << 18
-CACHE = 600_000
+#: Bytes of an id that differ from zero: enough for the vocabularies' 2**16 ids.
+PLANES = 2
+CACHE = 500_000
 SCHEMA = "part int, block int, n_docs int, n_ids long, doc_ids binary, known binary, lengths binary, bits binary, entries binary"
 
 
@@ -50,20 +52,30 @@ class Encoder:
         self.model = self.library.model
         self.bpe = bpe.WordBpe(source)
         self.cache = bpe.Cache(CACHE)
-        self.size = max(self.bpe.tokens) + 1
+        self.words = bpe.Cache(CACHE)
+        if max(self.bpe.tokens) >= 1 << 8 * PLANES:
+            raise ValueError("the vocabulary has ids of more bytes than are kept")
 
-    def chunk(self, text: str) -> bytes:
-        model = self.model
-        ids = [t.id for w in bpe.FIND_WORDS.findall(text) for t in model.tokenize(bpe.as_chars(w.encode()))]
-        if bpe.too_new(text):
-            self.bpe.odd.add(text)
-        return np.array(ids, "<u4").tobytes()
+    def word(self, text: str) -> bytes:
+        return np.array([t.id for t in self.model.tokenize(bpe.as_chars(text.encode()))], "<u4").tobytes()
+
+    def learn(self, chunks) -> None:
+        """Bring the ids of chunks into the cache; chunks are made of words, which have a cache of their own."""
+        self.cache.turn()
+        self.words.turn()
+        new = self.cache.lacking(chunks)
+        cut = [bpe.FIND_WORDS.findall(c) for c in new]
+        for w in self.words.lacking(w for ws in cut for w in ws):
+            self.words[w] = self.word(w)
+        get = self.words.__getitem__
+        for c, ws in zip(new, cut, strict=True):
+            self.cache[c] = b"".join(map(get, ws))
+            if bpe.too_new(c):
+                self.bpe.odd.add(c)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [list(bpe.chunks(self.bpe, t)) if t else [] for t in texts]
-        self.cache.turn()
-        for c in self.cache.lacking(c for runs in cut for r in runs if not isinstance(r, int) for c in r):
-            self.cache[c] = self.chunk(c)
+        self.learn(c for runs in cut for r in runs if not isinstance(r, int) for c in r)
         get, odd, out = self.cache.__getitem__, self.bpe.odd, []
         for t, runs in zip(texts, cut, strict=True):
             if odd and any(not isinstance(r, int) and not odd.isdisjoint(r) for r in runs):
@@ -180,47 +192,42 @@ def unpack(bits: bytes, entries: np.ndarray, n: int, lengths: bytes) -> np.ndarr
 # --- files ------------------------------------------------------------------
 
 
+def planes(ids: np.ndarray) -> bytes:
+    """The ids' bytes, all lowest ones first: each plane compresses better than the mixture."""
+    return ids.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :PLANES].T.tobytes()
+
+
+def unplaned(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // PLANES, 4), np.uint8)
+    out[:, :PLANES] = np.frombuffer(data, np.uint8).reshape(PLANES, -1).T
+    return out.view("<u4").ravel()
+
+
 def write(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2) -> None:
-    """Write the ids of all texts, each with ``end_id`` after it, as ``path``/blocks and ``path``/code."""
+    """Write the ids of all texts, each with ``end_id`` after it, as ``path``/blocks and ``path``/code.
+
+    Texts are encoded once; their ids wait in ``path``/ids, already in blocks and
+    order, until the counts of all have given the code.
+    """
     spark = docs.sparkSession
     with open(vocabulary, "rb") as f:
         source = spark.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-
-    def count(batches):
-        own = encoder(source.value)
-        total = np.zeros(own.size, np.int64)
-        for b in common.rows_of(batches):
-            for ids in own.encode(b.column(0).to_pylist()):
-                total += np.bincount(np.frombuffer(ids, "<u4"), minlength=own.size)
-                total[end_id] += 1
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["id", "n"])
-
-    # At most one row for each id of the vocabulary comes to the driver.
-    found = rows.select("text").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(max([r.id for r in found], default=end_id) + 1, np.int64)
-    for r in found:
-        counts[r.id] = r.n
-    lengths = code_lengths(counts)
-    spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").write.parquet(f"{path}/code")
-    code = spark.sparkContext.broadcast(lengths.tobytes())
+    head = "part int, block int, n_docs int, n_ids long, doc_ids binary, known binary, lengths binary"
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
-    def blocks(batches):
-        own, size = encoder(source.value), np.frombuffer(code.value, np.uint8)
-        codes, part, number = canonical(size), TaskContext.get().partitionId(), 0
+    def encoded(batches):
+        own, part, number = encoder(source.value), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         ids, held, n = [], [], 0
 
         def done():
             flat = np.frombuffer(b"".join(held), "<u4")
-            bits, starts = pack(flat, codes, size)
             sizes = np.array([len(x) // 4 for x in held], "<i8")
             known = np.array([x is not None for x in ids], np.uint8)
-            row = [part, number, len(ids), len(flat), np.array([x or 0 for x in ids], "<i8").tobytes(), known.tobytes(), sizes.tobytes(), bits, starts[::EVERY].astype("<u8").tobytes()]
-            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
+            row = [part, number, len(ids), len(flat), np.array([x or 0 for x in ids], "<i8").tobytes(), known.tobytes(), sizes.tobytes(), planes(flat)]
+            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], [*names[:7], "ids"])
 
         for b in common.rows_of(batches, 1_000_000):
             for doc, x in zip(b.column(0).to_pylist(), own.encode(b.column(1).to_pylist()), strict=True):
@@ -234,8 +241,40 @@ def write(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id", t
             yield done()
 
     width = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = rows.repartitionByRange(width, F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    ordered.mapInArrow(blocks, SCHEMA).write.option("compression", "none").parquet(f"{path}/blocks")
+    ordered = rows.repartitionByRange(width, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    ordered.mapInArrow(encoded, f"{head}, ids binary").write.option("compression", "zstd").parquet(f"{path}/ids")
+    waiting = spark.read.schema(f"{head}, ids binary").parquet(f"{path}/ids")
+
+    def count(batches):
+        total = np.zeros(1, np.int64)
+        for b in batches:
+            for data in b.column(0):
+                more = np.bincount(unplaned(data.as_py()), minlength=len(total))
+                more[: len(total)] += total
+                total = more
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["id", "n"])
+
+    # At most one row for each id of the vocabulary comes to the driver.
+    found = waiting.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(max(found["id"].to_pylist(), default=end_id) + 1, np.int64)
+    counts[found["id"].to_numpy()] = found["n"].to_numpy()
+    lengths = code_lengths(counts)
+    spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").write.parquet(f"{path}/code")
+    code = spark.sparkContext.broadcast(lengths.tobytes())
+
+    def coded(batches):
+        size = np.frombuffer(code.value, np.uint8)
+        codes = canonical(size)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                b = batch.slice(k, 1)
+                bits, starts = pack(unplaned(b.column(7)[0].as_py()), codes, size)
+                yield pa.RecordBatch.from_arrays([*b.columns[:7], pa.array([bits], pa.binary()), pa.array([starts[::EVERY].astype("<u8").tobytes()], pa.binary())], names)
+
+    waiting.mapInArrow(coded, SCHEMA).write.option("compression", "none").parquet(f"{path}/blocks")
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/ids")
+    done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(done, True)
 
 
 def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
