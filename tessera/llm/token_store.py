@@ -33,7 +33,7 @@ EVERY = 128
 BLOCK_IDS = 1 << 18
 #: Bytes of an id that differ from zero: enough for the vocabularies' 2**16 ids.
 PLANES = 2
-CACHE = 500_000
+CACHE = 700_000
 SCHEMA = "part int, block int, n_docs int, n_ids long, doc_ids binary, known binary, lengths binary, bits binary, entries binary"
 
 
@@ -75,7 +75,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [list(bpe.chunks(self.bpe, t)) if t else [] for t in texts]
-        self.learn(c for runs in cut for r in runs if not isinstance(r, int) for c in r)
+        self.learn(set().union(*(r for runs in cut for r in runs if not isinstance(r, int))))
         get, odd, out = self.cache.__getitem__, self.bpe.odd, []
         for t, runs in zip(texts, cut, strict=True):
             if odd and any(not isinstance(r, int) and not odd.isdisjoint(r) for r in runs):
