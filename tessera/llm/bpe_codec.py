@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import bpe, common
 
-CACHE = 200_000
+CACHE = 350_000
 
 
 class Codec:
@@ -67,7 +67,7 @@ class Codec:
     def encode(self, texts: list[str | None]) -> Iterator[tuple[str, str]]:
         """Of each text: decimal ids and decoded text."""
         cut = [list(bpe.chunks(self.bpe, t)) if t else [] for t in texts]
-        self.learn({c for runs in cut for r in runs if not isinstance(r, int) for c in r})
+        self.learn(set().union(*(r for runs in cut for r in runs if not isinstance(r, int))))
         get, odd = self.cache.__getitem__, self.bpe.odd
         for t, runs in zip(texts, cut, strict=True):
             if odd and any(not isinstance(r, int) and not odd.isdisjoint(r) for r in runs):
