@@ -70,9 +70,9 @@ def token_df(s1: DataFrame) -> DataFrame:
 
 
 def informative(s1: DataFrame, cfg: Blocking) -> DataFrame:
-    """(token, df) of tokens at or below the frequency cutoff; the cutoff joins as one row."""
-    cutoff = s1.agg(F.least(F.greatest(F.lit(2), F.floor(F.lit(cfg.df_ratio) * F.count("*"))), F.lit(cfg.df_most)).alias("cutoff"))
-    return token_df(s1).join(F.broadcast(cutoff), F.col("df") <= F.col("cutoff")).select("token", "df")
+    """(token, df) of tokens at or below the frequency cutoff, which the number of reference rows sets."""
+    cutoff = min(max(2, int(cfg.df_ratio * s1.count())), cfg.df_most)
+    return token_df(s1).where(F.col("df") <= cutoff)
 
 
 def keys(rows: DataFrame, cfg: Blocking, vocabulary: DataFrame | None = None) -> DataFrame:

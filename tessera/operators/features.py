@@ -182,9 +182,9 @@ def tfidf_cosine(found: DataFrame, names: DataFrame) -> DataFrame:
     grams = F.concat(words, F.when(F.size(words) > 1, twos).otherwise(F.array().cast("array<string>")))
     known = names.where("name_norm IS NOT NULL")
     counts = known.select("id", F.explode(grams).alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
-    size = known.agg(F.count("*").alias("total"))
+    total = known.count()
     df = counts.groupBy("term").agg(F.count("*").alias("df"))
-    weighed = counts.join(df, "term").crossJoin(F.broadcast(size)).withColumn("w", (1 + F.log("tf")) * (F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1))
+    weighed = counts.join(df, "term").withColumn("w", (1 + F.log("tf")) * (F.log(F.lit(1 + total) / (1 + F.col("df"))) + 1))
     norms = weighed.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     unit = weighed.join(norms, "id").select("id", "term", (F.col("w") / F.col("norm")).alias("u"))
     left = found.select("s1_id", "id").join(unit.withColumnsRenamed({"id": "s1_id", "u": "x"}), "s1_id")
