@@ -3,13 +3,18 @@
 At five words and a Jaccard similarity of 0.8, two 64-bit fingerprints differ
 in about ten bits, too many for bands of equal bits. So rows are routed by
 min-hash bands (three min-hashes each, ``BANDS`` bands: a pair at 0.8 shares a
-band with probability above 0.998), and inside a route the Gray-order index of
-:mod:`tessera.llm.simhash` finds fingerprints of 256 bits within ``RADIUS`` bits.
-Of a route's links the likeliest spanning forest is kept, so links never
-outnumber rows; each is then checked on the two exact sets of shingles.
+band with probability above 0.999); rows with a band in common are candidates.
 
-A route with over ``LIMIT`` rows is dealt out in salted parts; each part sends on
-one row of each of its components, until the route fits.
+Two steps. First the likely links: inside a route the Gray-order index of
+:mod:`tessera.llm.simhash` finds fingerprints of 256 bits within ``RADIUS`` bits,
+and the likeliest spanning forest, so links never outnumber rows, is checked on
+exact shingle sets. That step may miss links and is there to be cheap. Then the
+rest: in every route where checked links leave more than one component, all
+candidates across components are compared on exact shingle sets, whatever their
+fingerprints, so the components are those of all candidates.
+
+In the first step a route with over ``LIMIT`` rows is dealt out in salted parts;
+each part sends on one row of each of its components, until the route fits.
 
 Edge cases: null texts count as empty; texts with fewer words than a shingle are
 one shingle; texts without words, and texts that are equal, are near each
@@ -146,14 +151,20 @@ def likely_links(signed: DataFrame, radius: int = RADIUS, limit: int = LIMIT) ->
     return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def checked(links: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """The links whose texts' shingle sets have at least ``threshold`` Jaccard similarity; ``texts``: (node, text), one row a node."""
+def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles) of texts (node, text): the set of shingles, sorted."""
 
     def sets(batches):
         for b in common.rows_of(batches):
             out = [np.unique(shingle_hashes(t, shingle) >> np.uint64(24)).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["node", "shingles"])
 
+    return texts.mapInArrow(sets, "node long, shingles binary")
+
+
+def checked(links: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """The links whose texts' shingle sets have at least ``threshold`` Jaccard similarity; ``texts``: (node, text), one row a node."""
+
     def near(batches):
         for b in common.rows_of(batches):
             keep = []
@@ -163,20 +174,80 @@ def checked(links: DataFrame, texts: DataFrame, shingle: int, threshold: float)
                 keep.append(both >= threshold * (len(p) + len(q) - both) - 1e-9)
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    held = common.cut(texts.mapInArrow(sets, "node long, shingles binary"), "shingles")
+    held = common.cut(shingle_sets(texts, shingle), "shingles")
     a, b = (held.select(F.col("node").alias(x), F.col("shingles").alias(f"{x}_set")) for x in "ab")
     return links.join(a, "a").join(b, "b").select("a", "b", "a_set", "b_set").mapInArrow(near, "a long, b long")
 
 
+def links_across(labels: np.ndarray, sets: list[np.ndarray], bands: np.ndarray, band: int, threshold: float) -> tuple[list[int], list[int]]:
+    """Links (i, j) that join the components ``labels`` of a route's rows as all its candidates do.
+
+    Every pair of rows is compared but for those in one component and those that
+    an earlier band (column of ``bands``) has as well.
+    """
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    starts = np.r_[0, np.cumsum(sizes)[:-1]]
+    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    mine = np.zeros(len(known), bool)
+    _, first, labels = np.unique(labels, return_index=True, return_inverse=True)
+    labels = first[labels]
+    out_i, out_j = [], []
+    for i in range(n - 1):
+        rest = labels[i + 1 :] != labels[i]
+        # What two sets share is at most the smaller one, what they make together at least the larger.
+        rest &= np.minimum(sizes[i + 1 :], sizes[i]) >= threshold * np.maximum(sizes[i + 1 :], sizes[i]) - 1e-9
+        if band and rest.any():
+            rest &= ~(bands[i + 1 :, :band] == bands[i, :band]).any(axis=1)
+        j = np.flatnonzero(rest) + i + 1
+        if not len(j):
+            continue
+        own = flat[starts[i] : starts[i] + sizes[i]]
+        mine[own] = True
+        both = np.array([np.count_nonzero(mine[flat[starts[x] : starts[x] + sizes[x]]]) for x in j])
+        mine[own] = False
+        near = j[both >= threshold * (sizes[i] + sizes[j] - both) - 1e-9]
+        if len(near):
+            out_i += [i] * len(near)
+            out_j += near.tolist()
+            labels = common.union_pairs(labels, np.full(len(near), i), near)
+    return out_i, out_j
+
+
+def missing_links(signed: DataFrame, classes: DataFrame, rows: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """(a, b): near candidates that join the components ``classes`` (node, component) wherever a route has several; ``rows``: (node, text)."""
+
+    def run(batches):
+        for k, nodes, labels, bands, sets in groups_of(batches, 2, None):
+            i, j = links_across(labels, [np.frombuffer(x, np.uint64) for x in sets], np.stack(bands), int(k[0]), threshold)
+            if i:
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[i]), pa.array(nodes[j])], ["a", "b"])
+
+    routed = signed.select("node", F.posexplode("bands").alias("k", "band")).join(common.sized(classes, classes.count()), "node", "left")
+    routed = routed.withColumn("component", F.coalesce("component", "node"))
+    several = routed.groupBy("k", "band").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
+    several = common.cut(several.select("k", "band"), "open-routes")
+    members = common.cut(routed.join(common.sized(several, several.count()), ["k", "band"]), "open-members")
+    nodes = common.cut(members.select("node").distinct(), "open-nodes")
+    open_ = common.sized(nodes, nodes.count())
+    texts = rows.join(open_, "node", "left_semi").dropDuplicates(["node"])
+    held = common.cut(shingle_sets(texts, shingle).join(signed.join(open_, "node", "left_semi").select("node", "bands"), "node"), "open-shingles")
+    dealt = members.join(held, "node").repartition("k", "band").sortWithinPartitions("k", "band", "component", "node")
+    return dealt.select("k", "band", F.col("k").alias("column"), "node", "component", "bands", "shingles").mapInArrow(run, "a long, b long")
+
+
 def surplus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """(node, keep, component) of texts in groups of near-duplicates; ``keep``: the one node of each group that stays, with the smallest id."""
     rows = docs.select(node(F.col(text_col)).alias("node"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    signed = common.cut(signatures(rows, shingle), "signatures").dropDuplicates(["node"])
+    signed = common.cut(signatures(rows, shingle).dropDuplicates(["node"]), "signatures")
     links = common.cut(likely_links(signed), "likely-links")
     ends = common.cut(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
     texts = rows.join(common.sized(ends, ends.count()), "node", "left_semi").dropDuplicates(["node"])
     edges = common.cut(checked(links, texts, shingle, threshold), "links")
     classes = common.cut(common.connected_components(edges), "components")
+    missing = common.cut(missing_links(signed, classes, rows, shingle, threshold), "missing-links")
+    if not missing.isEmpty():
+        classes = common.cut(common.connected_components(edges.union(missing)), "components")
     ids = docs.select(F.col(id_col).alias("id"), node(F.col(text_col)).alias("node"))
     members = ids.join(common.sized(classes, classes.count()), "node").groupBy("component", "node").agg(F.min("id").alias("id"))
     members = common.cut(members, "members")
