@@ -14,7 +14,9 @@ candidates across components are compared on exact shingle sets, whatever their
 fingerprints, so the components are those of all candidates.
 
 In the first step a route with over ``LIMIT`` rows is dealt out in salted parts;
-each part sends on one row of each of its components, until the route fits.
+each part sends on one row of each of its components, until the route fits. In
+the second it is dealt out in parts of about ``BLOCK`` rows, and parts are
+compared with each other but for those of its largest component.
 
 Edge cases: null texts count as empty; texts with fewer words than a shingle are
 one shingle; texts without words, and texts that are equal, are near each
@@ -37,6 +39,7 @@ BANDS, ROWS = 12, 3
 WORDS = 4
 RADIUS = 58
 LIMIT = 1024
+BLOCK = 1024
 ROUNDS = 4
 NODE = common.private("node")
 _PRINTS = [f"w{k}" for k in range(WORDS)]
@@ -179,11 +182,11 @@ def checked(links: DataFrame, texts: DataFrame, shingle: int, threshold: float)
     return links.join(a, "a").join(b, "b").select("a", "b", "a_set", "b_set").mapInArrow(near, "a long, b long")
 
 
-def links_across(labels: np.ndarray, sets: list[np.ndarray], bands: np.ndarray, band: int, threshold: float) -> tuple[list[int], list[int]]:
+def links_across(labels: np.ndarray, sets: list[np.ndarray], bands: np.ndarray, band: int, sides: np.ndarray | None, threshold: float) -> tuple[list[int], list[int]]:
     """Links (i, j) that join the components ``labels`` of a route's rows as all its candidates do.
 
-    Every pair of rows is compared but for those in one component and those that
-    an earlier band (column of ``bands``) has as well.
+    Every pair of rows is compared but for those in one component, those that an
+    earlier band (column of ``bands``) has as well and, given ``sides``, those on one side.
     """
     n = len(sets)
     sizes = np.array([len(x) for x in sets])
@@ -195,6 +198,8 @@ def links_across(labels: np.ndarray, sets: list[np.ndarray], bands: np.ndarray,
     out_i, out_j = [], []
     for i in range(n - 1):
         rest = labels[i + 1 :] != labels[i]
+        if sides is not None:
+            rest &= sides[i + 1 :] != sides[i]
         # What two sets share is at most the smaller one, what they make together at least the larger.
         rest &= np.minimum(sizes[i + 1 :], sizes[i]) >= threshold * np.maximum(sizes[i + 1 :], sizes[i]) - 1e-9
         if band and rest.any():
@@ -214,12 +219,31 @@ def links_across(labels: np.ndarray, sets: list[np.ndarray], bands: np.ndarray,
     return out_i, out_j
 
 
-def missing_links(signed: DataFrame, classes: DataFrame, rows: DataFrame, shingle: int, threshold: float) -> DataFrame:
+def blocks(members: DataFrame, block: int) -> DataFrame:
+    """``members`` (k, band, node, component) with part, low and high: pairs of parts that hold all pairs of rows across components.
+
+    Routes of at most ``block`` rows are one part. Of others the largest component
+    and the other rows are dealt out apart; the largest needs no look at itself.
+    """
+    counts = members.groupBy("k", "band", "component").agg(F.count("*").alias("n"))
+    shape = counts.groupBy("k", "band").agg(F.sum("n").alias("size"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("main"))
+    shape = common.cut(shape.where(F.col("size") > block), "hot-open-routes")
+    rows = members.join(common.sized(shape, shape.count()), ["k", "band"], "left")
+    major = F.coalesce(F.col("component") == F.col("main"), F.lit(False))
+    few = F.coalesce(F.ceil((F.col("size") - F.col("most")) / block), F.lit(1)).cast("long")
+    many = F.coalesce(F.ceil(F.col("most") / block), F.lit(0)).cast("long")
+    deal = F.xxhash64("node", "k")
+    part = F.when(major, few + F.pmod(deal, F.greatest(many, F.lit(1)))).otherwise(F.pmod(deal, few))
+    rows = rows.withColumns({"part": part, "other": F.explode(F.sequence(F.lit(0).cast("long"), F.when(major, few - 1).otherwise(few + many - 1)))})
+    return rows.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")}).drop("size", "most", "main", "other")
+
+
+def missing_links(signed: DataFrame, classes: DataFrame, rows: DataFrame, shingle: int, threshold: float, block: int = BLOCK) -> DataFrame:
     """(a, b): near candidates that join the components ``classes`` (node, component) wherever a route has several; ``rows``: (node, text)."""
 
     def run(batches):
-        for k, nodes, labels, bands, sets in groups_of(batches, 2, None):
-            i, j = links_across(labels, [np.frombuffer(x, np.uint64) for x in sets], np.stack(bands), int(k[0]), threshold)
+        for k, parts, across, nodes, labels, bands, sets in groups_of(batches, 4, None):
+            i, j = links_across(labels, [np.frombuffer(x, np.uint64) for x in sets], np.stack(bands), int(k[0]), parts if across[0] else None, threshold)
             if i:
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[i]), pa.array(nodes[j])], ["a", "b"])
 
@@ -232,8 +256,9 @@ def missing_links(signed: DataFrame, classes: DataFrame, rows: DataFrame, shingl
     open_ = common.sized(nodes, nodes.count())
     texts = rows.join(open_, "node", "left_semi").dropDuplicates(["node"])
     held = common.cut(shingle_sets(texts, shingle).join(signed.join(open_, "node", "left_semi").select("node", "bands"), "node"), "open-shingles")
-    dealt = members.join(held, "node").repartition("k", "band").sortWithinPartitions("k", "band", "component", "node")
-    return dealt.select("k", "band", F.col("k").alias("column"), "node", "component", "bands", "shingles").mapInArrow(run, "a long, b long")
+    dealt = blocks(members, block).join(held, "node").repartition("k", "band", "low", "high").sortWithinPartitions("k", "band", "low", "high", "component", "node")
+    across = (F.col("low") != F.col("high")).cast("int")
+    return dealt.select("k", "band", "low", "high", F.col("k").alias("column"), "part", across.alias("across"), "node", "component", "bands", "shingles").mapInArrow(run, "a long, b long")
 
 
 def surplus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:

@@ -24,3 +24,9 @@ def kept(spark, texts):
 
 def test_family_of_copies(spark):
     assert kept(spark, family(random.Random(3), 150)) == {0}
+
+
+def test_hot_family(spark, monkeypatch):
+    monkeypatch.setattr(near_dup.likely_links, "__defaults__", (near_dup.RADIUS, 16))
+    monkeypatch.setattr(near_dup.missing_links, "__defaults__", (16,))
+    assert kept(spark, family(random.Random(4), 100)) == {0}
