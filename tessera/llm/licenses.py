@@ -2,8 +2,9 @@
 
 The words of all license templates (and of the base phrases) form one automaton.
 A text's words are streamed through it; after each word the state and length
-say what the longest template stretch ending there is. Stretches that end are
-chained: a chain is a run of stretches in the order of a template with few
+say what the longest template stretch ending there is. A stretch ends for a
+template where that template does not go on, whether or not a longer one does.
+Stretches that end are chained: a chain is a run of stretches in the order of a template with few
 words between; a template whose words are covered enough by one chain gives a
 labelled span. Base phrases are read off the state reached at each word.
 
@@ -119,11 +120,16 @@ class Scanner:
                 u = a.link[u]
             self.phrases.append(found)
         self.known = set(a.next[0])
+        # By state and next word: ends in templates of the state that do not go on with the word.
+        self.lost: list[dict[bytes, list[tuple[int, int]]]] = []
+        for v, follow in enumerate(a.next):
+            gone = {w: sorted(e for e in a.ends[v] if e[0] not in {k for k, _ in a.ends[u]}) for w, u in follow.items()}
+            self.lost.append({w: e for w, e in gone.items() if e})
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, str]], list[tuple[str, int, int, float]]]:
         """Base places (first word, label) and template spans (label, first word, end, covered share)."""
         a = self.automaton
-        nxt, link, length, known, phrases = a.next, a.link, a.length, self.known, self.phrases
+        nxt, link, length, known, phrases, lost = a.next, a.link, a.length, self.known, self.phrases, self.lost
         places: list[tuple[int, str]] = []
         chains: dict[int, list[int]] = {}
         best: list[tuple[str, int, int, float]] = []
@@ -135,9 +141,9 @@ class Scanner:
             if covered >= MIN_COVER * len(template):
                 best.append((label, first, end, covered / len(template)))
 
-        def stretch(end: int) -> None:
-            """The stretch of ``size`` words before ``end`` can't go on: add it to the chains of the templates that have it."""
-            for k, stop in sorted(a.ends[v]):
+        def stretch(end: int, ends: list[tuple[int, int]]) -> None:
+            """The stretch of ``size`` words before ``end`` can't go on in the templates of ``ends``: add it to their chains."""
+            for k, stop in ends:
                 if k >= len(self.templates):
                     continue
                 start = stop - size
@@ -154,22 +160,24 @@ class Scanner:
             if w not in known:
                 if size:
                     if size >= MIN_STRETCH:
-                        stretch(i)
+                        stretch(i, sorted(a.ends[v]))
                     v = size = 0
                 continue
             if w not in nxt[v]:
                 if size >= MIN_STRETCH:
-                    stretch(i)
+                    stretch(i, sorted(a.ends[v]))
                 while w not in nxt[v]:
                     v = link[v]
                 size = length[v]
+            if size >= MIN_STRETCH and w in lost[v]:
+                stretch(i, lost[v][w])
             v = nxt[v][w]
             size += 1
             for n, label in phrases[v]:
                 if n <= size:
                     places.append((i + 1 - n, label))
         if size >= MIN_STRETCH:
-            stretch(len(words))
+            stretch(len(words), sorted(a.ends[v]))
         for k in list(chains):
             close(k)
         return places, sorted(set(best), key=lambda s: (s[1], s[2], s[0]))
