@@ -30,3 +30,9 @@ def test_hot_family(spark, monkeypatch):
     monkeypatch.setattr(near_dup.likely_links, "__defaults__", (near_dup.RADIUS, 16))
     monkeypatch.setattr(near_dup.missing_links, "__defaults__", (16,))
     assert kept(spark, family(random.Random(4), 100)) == {0}
+
+
+def test_short_texts(spark):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(8)) for _ in range(200)]
+    assert kept(spark, [x for t in texts for x in (t, f"{t} more")]) == set(range(0, 400, 2))
