@@ -16,6 +16,8 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: White space as the tokenizers' patterns see it.
@@ -215,26 +217,155 @@ def folded(text: str) -> str:
 
 def too_new(text: str) -> bool:
     """Whether the text has a character that this Python's Unicode tables lack: the pattern libraries may class it differently."""
-    return not text.isascii() and any(unicodedata.category(c) == "Cn" for c in text)
+    return not text.isascii() and any(unicodedata.category(c) == "Cn" for c in set(text))
 
 
-ODD_BREAKS = ("\x1c", "\x1d", "\x1e", "\x1f")
+ANY_SPACE = regex.compile(f"[{SPACE}]")
+#: Characters encoded together: a text is cut at white space into pieces of about so many.
+PIECE = 8_000_000
 
 
-def chunks(bpe: WordBpe, text: str) -> Iterator[list[str] | int]:
-    """Runs of white-space-free strings of a folded text, and ids of special strings between them.
+class ChunkCodec:
+    """Ids of whole texts, by way of the ids of their chunks: runs without white space of ASCII.
 
-    No word reaches over white space, so a chunk's ids depend on the chunk alone.
+    No word reaches over white space, so a chunk's ids depend on the chunk alone
+    (one with wider spaces inside has several words like any other).
+    Chunks met lately are kept in one table: at most ``entries`` of them or
+    ``most`` bytes of keys, then it starts anew; a batch is encoded in pieces, so the
+    table never holds more than that and one piece's. ``word_ids`` encodes words.
     """
-    for part, special in bpe.parts(text):
-        if special is not None:
-            yield special
-        elif part:
-            part = folded(part)
-            if any(c in part for c in ODD_BREAKS):
-                yield regex.split(f"[{SPACE}]+", part)
-            else:
-                yield part.split()
+
+    def __init__(self, source: bytes, word_ids, entries: int = 600_000, most: int = 48 << 20):
+        self.source = source
+        self.bpe = WordBpe(source)
+        self.word_ids = word_ids
+        self.entries, self.most = entries, most
+        self.kind = np.dtype("<u2" if max(self.bpe.tokens) < 1 << 16 else "<u4")
+        self._library = None
+        self.clear()
+
+    @property
+    def library(self):
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_str(self.source.decode())
+            self._library.no_truncation()
+            self._library.no_padding()
+        return self._library
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.held = 0
+        self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.flat, self.used = np.zeros(4096, self.kind), 0
+        # Entries with a character that the pattern library may class differently.
+        self.odd: set[int] = set()
+        # Folded texts have no capital letter of ASCII, so these never meet a chunk.
+        self.add([f"S{i}" for i in self.bpe.special.values()], np.array(list(self.bpe.special.values()), self.kind), np.ones(len(self.bpe.special), np.int64))
+
+    def add(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, m, end = len(self.index), len(chunks), self.used + len(ids)
+        if n + m > len(self.starts):
+            room = max(2 * len(self.starts), n + m)
+            self.starts, self.sizes = (np.concatenate([x[:n], np.zeros(room - n, np.int64)]) for x in (self.starts, self.sizes))
+        if end > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(len(self.flat), len(ids)), self.kind)])
+        self.flat[self.used : end] = ids
+        self.starts[n : n + m] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[n : n + m] = sizes
+        self.used = end
+        self.index.update(zip(chunks, range(n, n + m), strict=True))
+        self.held += sum(map(len, chunks))
+
+    def gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of entries one after the other, and how many each has."""
+        sizes = self.sizes[codes]
+        ends = np.cumsum(sizes)
+        shift = np.repeat(self.starts[codes] - ends + sizes, sizes)
+        return self.flat[shift + np.arange(len(shift))], sizes
+
+    def learn(self, chunks: list[str]) -> None:
+        """Enter chunks: their words first, in one batch, then those that are no single word."""
+        index = self.index
+        composed = [(c, FIND_WORDS.findall(c)) for c in chunks if not c.isalpha()]
+        words = set(filter(str.isalpha, chunks))
+        words.update(w for _, own in composed for w in own if w not in index)
+        if words:
+            new = list(words)
+            self.add(new, *self.word_ids(self, new))
+        rest = [(c, own) for c, own in composed if c not in index]
+        if rest:
+            counts = np.fromiter((len(own) for _, own in rest), np.int64, len(rest))
+            ids, sizes = self.gather(np.fromiter((index[w] for _, own in rest for w in own), np.int64, int(counts.sum())))
+            upto = np.r_[0, np.cumsum(sizes)]
+            ends = np.cumsum(counts)
+            self.add([c for c, _ in rest], ids, upto[ends] - upto[ends - counts])
+        if too_new("".join(chunks)):
+            self.odd.update(index[c] for c in chunks if too_new(c))
+
+    def folded(self, text: str) -> str:
+        """Chunks of a text between white space of ASCII; special strings are chunks of their own."""
+        parts = [folded(part) if special is None else f"S{special}" for part, special in self.bpe.parts(text)]
+        return parts[0] if len(parts) == 1 else " ".join(parts)
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.index) > self.entries or self.held > self.most:
+            self.clear()
+        lists = pc.ascii_split_whitespace(pa.array(list(map(self.folded, texts)), pa.large_string()))
+        found = lists.values.dictionary_encode()
+        own = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        get = self.index.get
+        # The empty string stands before and after white space at a text's ends.
+        self.learn([c for c in own if get(c) is None])
+        table = np.fromiter(map(self.index.__getitem__, own), np.int64, len(own))
+        codes = table[found.indices.to_numpy()] if len(own) else np.zeros(0, np.int64)
+        ids, sizes = self.gather(codes)
+        upto = np.r_[0, np.cumsum(sizes)]
+        return ids, upto[lists.offsets.to_numpy()], codes, lists.offsets.to_numpy()
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text."""
+        out: list[np.ndarray] = []
+        batch: list[str] = []
+        size = 0
+
+        def done() -> None:
+            nonlocal batch, size
+            ids, ends, codes, places = self._encode(batch)
+            odd = np.zeros(0, np.int64)
+            if self.odd:
+                odd = np.unique(np.searchsorted(places, np.flatnonzero(np.isin(codes, list(self.odd))), side="right") - 1)
+            again = set(odd.tolist())
+            for k, t in enumerate(batch):
+                out.append(np.array(self.library.encode(t, add_special_tokens=False).ids, self.kind) if k in again else ids[ends[k] : ends[k + 1]])
+            batch, size = [], 0
+
+        for text in texts:
+            text = text or ""
+            if len(text) > 2 * PIECE:
+                if batch:
+                    done()
+                out.append(self.long(text))
+                continue
+            batch.append(text)
+            size += len(text)
+            if size >= PIECE:
+                done()
+        if batch:
+            done()
+        return out
+
+    def long(self, text: str) -> np.ndarray:
+        """The ids of a text taken in pieces that end before white space."""
+        if too_new(text):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind)
+        parts, at = [], 0
+        while at < len(text):
+            cut = len(text) if len(text) - at <= PIECE else next((m.start() for m in ANY_SPACE.finditer(text, at + PIECE)), len(text))
+            parts.append(self._encode([text[at:cut]])[0])
+            at = cut
+        return np.concatenate(parts)
 
 
 class Cache(dict):

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only when it was counted and has at most so many rows.
@@ -38,11 +38,27 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def sized(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if ``rows``, its counted size, is within the bound."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def quoted(name: str) -> str:
+    """A column name in back quotes: names may hold dots, spaces and back quotes."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def col(name: str) -> Column:
+    """The column of exactly this name."""
+    return F.col(quoted(name))
+
+
 def private(name: str) -> str:
     """A column name that tables from outside won't have."""
     return f"__tessera_{name}"
