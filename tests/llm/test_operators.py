@@ -313,9 +313,42 @@ def test_codec(docs, empty):
 @given(st.lists(st.text(st.characters(codec="utf-8"), max_size=40), min_size=1, max_size=5))
 def test_codec_equals_library(texts):
     own, library = bpe_codec.codec(VOCAB), bpe_codec.codec(VOCAB).library
-    for t, (ids, back) in zip(texts, own.encode(texts), strict=True):
+    found = own.encode(texts)
+    for t, ids, back, both in zip(texts, found, own.decode(found), own.digests(found), strict=True):
         want = library.encode(t, add_special_tokens=False).ids
-        assert ids == " ".join(map(str, want)) and back == library.decode(want, skip_special_tokens=False)
+        assert ids.tolist() == want and back.decode() == library.decode(want, skip_special_tokens=False)
+        assert both == (hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest(), hashlib.sha256(back).hexdigest())
+    # Ids that no text encodes to decode all the same.
+    other = np.array([1, 40000, 49407, 3, 3], own.kind)
+    assert own.decode([other])[0].decode() == library.decode(other.tolist(), skip_special_tokens=False)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.characters(codec="utf-8"), max_size=40), min_size=1, max_size=5))
+def test_store_ids_equal_library(texts):
+    own = token_store.encoder(VOCAB)
+    for t, ids in zip(texts, own.encode(texts), strict=True):
+        assert ids.tolist() == own.library.encode(t, add_special_tokens=False).ids
+
+
+def test_long_texts_are_encoded_in_pieces(monkeypatch):
+    monkeypatch.setattr(bpe, "PIECE", 500)
+    monkeypatch.setattr(bpe_codec, "SLICE", 100)
+    text = f"<|endoftext|> {LONG[:40000]} don't İ 12<|endoftext|>x"
+    want = bpe_codec.codec(VOCAB).library.encode(text, add_special_tokens=False).ids
+    for own in (bpe_codec.Codec(VOCAB), token_store.Encoder(VOCAB)):
+        own.entries = 50
+        assert own.encode(["a", text, None])[1].tolist() == want and len(own.index) < 1000
+    ids, back = next(iter(own_digest := list(bpe_codec.Codec(VOCAB).digests([np.array(want, "<u2")]))))
+    assert own_digest and ids == hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest()
+    assert back == hashlib.sha256(bpe_codec.codec(VOCAB).library.decode(want, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_decode_from_ids(spark):
+    library = bpe_codec.codec(VOCAB).library
+    rows = [(k, library.encode(t or "", add_special_tokens=False).ids if t is not None else None) for k, t in enumerate(("Two words, é!", "", None))]
+    out = bpe_codec.decode(spark.createDataFrame(rows, "doc_id long, ids array<int>"), WORD, carry=("doc_id",)).collect()
+    assert {r.doc_id: r.decoded for r in out} == {k: library.decode(ids or [], skip_special_tokens=False) for k, ids in rows}
 
 
 def test_speculation_equals_merging():
