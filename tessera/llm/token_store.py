@@ -11,12 +11,14 @@ Reading looks ``MAX_BITS`` bits up in a table at all entry points of a block at
 once, step by step.
 
 Null and empty texts hold just the end id. Rows with a null ``doc_id`` come
-first; rows that repeat a ``doc_id`` are ordered by their text. An empty table
-gives files without blocks and an empty result.
+first; rows that share an id (null too) are ordered by their first ``TIE``
+characters, then by a hash of their ids, so that many such rows are dealt out to many tasks. An empty table gives
+files without blocks and an empty result; further columns are not carried.
 """
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from functools import lru_cache
 
@@ -30,59 +32,47 @@ from tessera.llm import bpe, common
 
 MAX_BITS = 18
 EVERY = 128
+TIE = 32
 BLOCK_IDS = 1 << 18
-#: Bytes of an id that differ from zero: enough for the vocabularies' 2**16 ids.
-PLANES = 2
-CACHE = 700_000
 SCHEMA = "part int, block int, n_docs int, n_ids long, doc_ids binary, known binary, lengths binary, bits binary, entries binary"
 
 
 # --- ids of texts -----------------------------------------------------------
 
+#: Words that go to the library in one text.
+TOGETHER = 2000
 
-class Encoder:
-    """The library's ids of texts as little-endian 32-bit integers; words not seen lately go to the library's model."""
+
+def by_library(own: bpe.ChunkCodec, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words: many are encoded as one text by the library and told apart by their last tokens.
+
+    A word that the library might take apart or change, or a text that gives
+    another number of words, goes to the library's model word by word.
+    """
+    def plain(text: str) -> bool:
+        return text.isascii() or (unicodedata.is_normalized("NFC", text) and text == bpe.folded(text) and not bpe.too_new(text))
+
+    runs = [words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER)]
+    texts = [" ".join(run) for run in runs]
+    parts, sizes = [], []
+    for run, text, got in zip(runs, texts, own.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        ids = np.array(got.ids, own.kind)
+        ends = np.flatnonzero(own.last[ids]) + 1
+        if len(ends) != len(run) or not plain(text):
+            each = [np.array([t.id for t in own.library.model.tokenize(bpe.as_chars(w.encode()))], own.kind) for w in run]
+            ids, ends = np.concatenate(each), np.cumsum([len(x) for x in each])
+        parts.append(ids)
+        sizes.append(np.diff(ends, prepend=0))
+    return np.concatenate(parts), np.concatenate(sizes)
+
+
+class Encoder(bpe.ChunkCodec):
+    """The library's ids of texts; words not seen lately go to the library."""
 
     def __init__(self, source: bytes):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_str(source.decode())
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.model = self.library.model
-        self.bpe = bpe.WordBpe(source)
-        self.cache = bpe.Cache(CACHE)
-        self.words = bpe.Cache(CACHE)
-        if max(self.bpe.tokens) >= 1 << 8 * PLANES:
-            raise ValueError("the vocabulary has ids of more bytes than are kept")
-
-    def word(self, text: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(bpe.as_chars(text.encode()))], "<u4").tobytes()
-
-    def learn(self, chunks) -> None:
-        """Bring the ids of chunks into the cache; chunks are made of words, which have a cache of their own."""
-        self.cache.turn()
-        self.words.turn()
-        new = self.cache.lacking(chunks)
-        cut = [bpe.FIND_WORDS.findall(c) for c in new]
-        for w in self.words.lacking(w for ws in cut for w in ws):
-            self.words[w] = self.word(w)
-        get = self.words.__getitem__
-        for c, ws in zip(new, cut, strict=True):
-            self.cache[c] = b"".join(map(get, ws))
-            if bpe.too_new(c):
-                self.bpe.odd.add(c)
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [list(bpe.chunks(self.bpe, t)) if t else [] for t in texts]
-        self.learn(set().union(*(r for runs in cut for r in runs if not isinstance(r, int))))
-        get, odd, out = self.cache.__getitem__, self.bpe.odd, []
-        for t, runs in zip(texts, cut, strict=True):
-            if odd and any(not isinstance(r, int) and not odd.isdisjoint(r) for r in runs):
-                out.append(np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
-            else:
-                out.append(b"".join(r.to_bytes(4, "little") if isinstance(r, int) else b"".join(map(get, r)) for r in runs))
-        return out
+        super().__init__(source, by_library, 1_000_000, 64 << 20)
+        #: Of each id: whether it ends a word.
+        self.last = np.array([bool(self.bpe.end) and self.bpe.tokens.get(i, "").endswith(self.bpe.end) for i in range(max(self.bpe.tokens) + 1)], bool)
 
 
 @lru_cache(maxsize=1)
@@ -192,89 +182,87 @@ def unpack(bits: bytes, entries: np.ndarray, n: int, lengths: bytes) -> np.ndarr
 # --- files ------------------------------------------------------------------
 
 
-def planes(ids: np.ndarray) -> bytes:
-    """The ids' bytes, all lowest ones first: each plane compresses better than the mixture."""
-    return ids.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :PLANES].T.tobytes()
-
-
-def unplaned(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // PLANES, 4), np.uint8)
-    out[:, :PLANES] = np.frombuffer(data, np.uint8).reshape(PLANES, -1).T
-    return out.view("<u4").ravel()
-
-
 def write(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2) -> None:
     """Write the ids of all texts, each with ``end_id`` after it, as ``path``/blocks and ``path``/code.
 
-    Texts are encoded once; their ids wait in ``path``/ids, already in blocks and
-    order, until the counts of all have given the code.
+    Texts are encoded once, where they are read; their ids wait in ``path``/ids
+    until the counts of all have given the code. Only ids are dealt out by ranges.
     """
     spark = docs.sparkSession
     with open(vocabulary, "rb") as f:
         source = spark.sparkContext.broadcast(f.read())
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    head = "part int, block int, n_docs int, n_ids long, doc_ids binary, known binary, lengths binary"
-    names = [x.split()[0] for x in SCHEMA.split(", ")]
+    text = common.col(text_col)
+    rows = docs.select(text.alias("text"), common.col(id_col).cast("long").alias("doc_id"), F.substring(text, 1, TIE).alias("tie"))
 
     def encoded(batches):
-        own, part, number = encoder(source.value), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
-        ids, held, n = [], [], 0
-
-        def done():
-            flat = np.frombuffer(b"".join(held), "<u4")
-            sizes = np.array([len(x) // 4 for x in held], "<i8")
-            known = np.array([x is not None for x in ids], np.uint8)
-            row = [part, number, len(ids), len(flat), np.array([x or 0 for x in ids], "<i8").tobytes(), known.tobytes(), sizes.tobytes(), planes(flat)]
-            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], [*names[:7], "ids"])
-
-        for b in common.rows_of(batches, 1_000_000):
-            for doc, x in zip(b.column(0).to_pylist(), own.encode(b.column(1).to_pylist()), strict=True):
-                ids.append(doc)
-                held.append(x + end)
-                n += len(x) // 4 + 1
-                if n >= BLOCK_IDS:
-                    yield done()
-                    ids, held, n, number = [], [], 0, number + 1
-        if ids:
-            yield done()
-
-    width = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = rows.repartitionByRange(width, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    ordered.mapInArrow(encoded, f"{head}, ids binary").write.option("compression", "zstd").parquet(f"{path}/ids")
-    waiting = spark.read.schema(f"{head}, ids binary").parquet(f"{path}/ids")
+        own = encoder(source.value)
+        end = np.array([end_id], "<u4")
+        for b in common.rows_of(batches, bpe.PIECE):
+            ids = [np.concatenate([x, end]) for x in own.encode(b.column(0).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array([x.astype(own.kind if end_id < 1 << 8 * own.kind.itemsize else "<u4").tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())], ["doc_id", "tie", "ids", "n"])
+
+    waiting_as = "doc_id long, tie string, ids binary, n long"
+    rows.mapInArrow(encoded, waiting_as).write.option("compression", "zstd").parquet(f"{path}/ids")
+    waiting = spark.read.schema(waiting_as).parquet(f"{path}/ids")
+
+    def flat_ids(data: pa.Array, sizes: pa.Array) -> np.ndarray:
+        """All ids of a batch; their width in bytes shows in the data."""
+        offsets = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1]
+        total = int(sizes.to_numpy().sum())
+        size = int(offsets[-1] - offsets[0])
+        return np.frombuffer(data.buffers()[2], f"<u{size // total}", total, int(offsets[0])) if total else np.zeros(0, np.uint32)
 
     def count(batches):
         total = np.zeros(1, np.int64)
         for b in batches:
-            for data in b.column(0):
-                more = np.bincount(unplaned(data.as_py()), minlength=len(total))
-                more[: len(total)] += total
-                total = more
+            more = np.bincount(flat_ids(*b.columns), minlength=len(total))
+            more[: len(total)] += total
+            total = more
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["id", "n"])
 
     # At most one row for each id of the vocabulary comes to the driver.
-    found = waiting.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    found = waiting.select("ids", "n").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(max(found["id"].to_pylist(), default=end_id) + 1, np.int64)
     counts[found["id"].to_numpy()] = found["n"].to_numpy()
     lengths = code_lengths(counts)
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").write.parquet(f"{path}/code")
     code = spark.sparkContext.broadcast(lengths.tobytes())
 
-    def coded(batches):
+    def blocks(batches):
         size = np.frombuffer(code.value, np.uint8)
-        codes = canonical(size)
-        for batch in batches:
-            for k in range(batch.num_rows):
-                b = batch.slice(k, 1)
-                bits, starts = pack(unplaned(b.column(7)[0].as_py()), codes, size)
-                yield pa.RecordBatch.from_arrays([*b.columns[:7], pa.array([bits], pa.binary()), pa.array([starts[::EVERY].astype("<u8").tobytes()], pa.binary())], names)
-
-    waiting.mapInArrow(coded, SCHEMA).write.option("compression", "none").parquet(f"{path}/blocks")
-    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/ids")
-    done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(done, True)
+        codes, part, number = canonical(size), TaskContext.get().partitionId(), 0
+        docs_of, sizes, ids, n = [], [], [], 0
+
+        def done() -> pa.RecordBatch:
+            doc = pa.concat_arrays(docs_of)
+            bits, starts = pack(np.concatenate(ids).astype(np.int64), codes, size)
+            row = [part, number, len(doc), n, doc.fill_null(0).to_numpy().astype("<i8").tobytes(), np.asarray(doc.is_valid(), np.uint8).tobytes(), np.concatenate(sizes).astype("<i8").tobytes(), bits, starts[::EVERY].astype("<u8").tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, [pa.int32(), pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5], strict=True)], [x.split()[0] for x in SCHEMA.split(", ")])
+
+        for whole in batches:
+            at = 0
+            ends = np.cumsum(whole.column(3).to_numpy())
+            while at < whole.num_rows:
+                # Documents up to the one that fills the block.
+                before = int(ends[at - 1]) if at else 0
+                to = min(whole.num_rows, int(np.searchsorted(ends, before + BLOCK_IDS - n)) + 1)
+                b = whole.slice(at, to - at)
+                docs_of.append(b.column(0))
+                sizes.append(b.column(3).to_numpy())
+                ids.append(flat_ids(b.column(2), b.column(3)))
+                n += int(ends[to - 1]) - before
+                at = to
+                if n >= BLOCK_IDS:
+                    yield done()
+                    docs_of, sizes, ids, n, number = [], [], [], 0, number + 1
+        if n:
+            yield done()
+
+    width = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc_nulls_first(), F.xxhash64("ids"), F.col("ids")]
+    waiting.repartitionByRange(width, *order[:3]).sortWithinPartitions(*order).mapInArrow(blocks, SCHEMA).write.option("compression", "none").parquet(f"{path}/blocks")
+    common.remove(spark, f"{path}/ids")
 
 
 def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
