@@ -17,9 +17,11 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
+    """The folder that driver and executors share; a temporary one only where none is set and all run on one machine."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
         found = getattr(spark.sparkContext, "_tessera_shared", None)
         if not found:
             found = f"file://{tempfile.mkdtemp(prefix='tessera-')}"
@@ -38,6 +40,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`cut` wrote and nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        remove(df.sparkSession, path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that nothing reads any more."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -106,14 +114,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = edges.union(edges.select("b", "a"))
         pointer = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("to")), "pointer")
         while True:
+            before = pointer
             upper = pointer.select(F.col("node").alias("to"), F.col("to").alias("top"))
             moved = cut(pointer.join(upper, "to").select("node", F.col("top").alias("to"), (F.col("top") != F.col("to")).alias("moved")), "pointer")
             pointer = moved.select("node", "to")
+            drop(before)
             if moved.where("moved").isEmpty():
                 break
         levels.append(pointer)
         a, b = (pointer.select(F.col("node").alias(x), F.col("to").alias(f"{x}2")) for x in "ab")
+        before = edges
         edges = cut(edges.join(a, "a").join(b, "b").where("a2 <> b2").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(), "edges")
+        drop(before)
     if not levels:
         return spark.createDataFrame([], "node long, component long")
     found = levels[-1].withColumnRenamed("to", "component")

@@ -1,21 +1,28 @@
 """Exact duplicates by two passes over a Bloom filter, in DataFrame operations only.
 
-First pass: every text's hash sets two cells of one 32,768-cell block; cells
-hit twice or more are kept as bitmaps. Second pass: a row whose two cells are
-both kept may be repeated and goes to the exact grouping; any other row is the
-only one of its text and passes without a shuffle.
+First pass: every text's hash names one cell; cells hit twice or more are kept as
+bitmaps of 32,768 cells. Second pass: a row whose cell is kept may be repeated and
+goes to the exact grouping; any other row is the only one of its text and passes
+without a shuffle.
 
-The bitmaps are broadcast, so their size is bounded: ``CELLS`` cells (32 MB).
-Above ``CELLS / 8`` rows such a filter says little; then every row's digest (not
-its text) goes to the exact grouping.
+The bitmaps are broadcast, so a filter has at most ``CELLS`` cells (32 MB). With
+more rows than that serves, hashes are cut into slices, each with a filter of its
+own, one after the other; nothing else changes with size.
+
+What shuffles in the first pass is one 8-byte cell a row, after partial counts.
+Partial bitmaps would be more: each task would send a whole filter, while a task's
+rows touch a small part of it.
 
 Edge cases: a null text counts as empty. A null id is smaller than any other;
 in a group with only null ids every row stays. Rows that repeat both id and text
 are one document: all get the same marks. Empty tables give empty results.
+Further columns may have any names.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +34,7 @@ CELLS_A_ROW = 16
 
 SHA = common.private("sha")
 FLAG = common.private("repeated")
+ID = common.private("id")
 
 
 def text_sha(col: Column) -> Column:
@@ -34,39 +42,42 @@ def text_sha(col: Column) -> Column:
     return F.sha2(common.lower_ascii(col).cast("binary"), 256)
 
 
-def _cells(key: Column, blocks: int) -> tuple[Column, Column, Column]:
-    h = F.xxhash64(key)
-    return F.pmod(h, F.lit(blocks)), F.shiftrightunsigned(h, 34).bitwiseAND(BLOCK - 1), F.shiftrightunsigned(h, 49).bitwiseAND(BLOCK - 1)
-
-
-def repeated_filter(keys: DataFrame, key: str) -> tuple[DataFrame, int] | None:
-    """(block, bits) of the cells that at least two rows hit, and the number of blocks; None above the bound."""
-    rows = keys.count()
-    if rows > CELLS // 8:
-        return None
-    blocks = 1
-    while blocks * BLOCK < min(CELLS, rows * CELLS_A_ROW):
-        blocks *= 2
-    block, first, second = _cells(F.col(key), blocks)
-    cells = keys.select(block.alias("block"), F.explode(F.array_distinct(F.array(first, second))).alias("cell"))
-    twice = cells.groupBy("block", "cell").count().where("count > 1")
-    return common.cut(twice.groupBy("block").agg(F.expr("bitmap_construct_agg(cell)").alias("bits")), "bloom"), blocks
-
-
-def flag_repeated(rows: DataFrame, key: str, found: tuple[DataFrame, int] | None) -> DataFrame:
-    """``rows`` with a boolean column: false only where no other row has the same key."""
-    if found is None:
-        return rows.withColumn(FLAG, F.lit(True))
-    bits, blocks = found
-    block, *cells = _cells(F.col(key), blocks)
-    at, data = common.private("block"), common.private("bits")
-
-    def hit(cell: Column) -> Column:
-        byte = F.conv(F.hex(F.substring(data, F.shiftright(cell, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-        return F.pmod(F.floor(byte / F.pow(F.lit(2), cell.bitwiseAND(7))), F.lit(2)) == 1
-
-    joined = rows.withColumn(at, block).join(F.broadcast(bits.select(F.col("block").alias(at), F.col("bits").alias(data))), at, "left")
-    return joined.withColumn(FLAG, F.coalesce(hit(cells[0]) & hit(cells[1]), F.lit(False))).drop(at, data)
+class Filter:
+    """Cells that at least ``least`` of the rows of ``keys`` (columns ``key``) hit, by slices of the hash."""
+
+    def __init__(self, keys: DataFrame, key: tuple[str, ...], least: int):
+        rows = keys.count()
+        self.key = key
+        self.slices = max(1, -(-rows * CELLS_A_ROW // CELLS))
+        cells = BLOCK
+        while cells < min(CELLS, -(-rows * CELLS_A_ROW // self.slices)):
+            cells *= 2
+        self.cells = cells
+        slice_, cell = self.place()
+        self.bits = []
+        for k in range(self.slices):
+            hit = keys.where(slice_ == k).select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+            bits = hit.groupBy(F.shiftright("cell", 15).alias("block")).agg(F.expr(f"bitmap_construct_agg(cell & {BLOCK - 1})").alias("bits"))
+            self.bits.append(common.cut(bits, "bloom"))
+
+    def place(self) -> tuple[Column, Column]:
+        """The slice and the cell of a row."""
+        h = F.xxhash64(*self.key)
+        return F.pmod(h, F.lit(self.slices)), F.shiftrightunsigned(h, 24).bitwiseAND(self.cells - 1)
+
+    def flagged(self, rows: DataFrame, flag: str = FLAG) -> DataFrame:
+        """``rows`` with a boolean column: true wherever a row's cell is kept."""
+        at, data, place = (common.private(x) for x in ("block", "bits", "cell"))
+        slice_, cell = self.place()
+        byte = F.conv(F.hex(F.substring(data, F.shiftright(F.col(place).bitwiseAND(BLOCK - 1), 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        hit = F.getbit(byte, F.col(place).bitwiseAND(7).cast("int")) == 1
+        parts = []
+        for k, bits in enumerate(self.bits):
+            part = rows.where(slice_ == k) if self.slices > 1 else rows
+            part = part.withColumn(place, cell).withColumn(at, F.shiftright(place, 15))
+            part = part.join(F.broadcast(bits.select(F.col("block").alias(at), F.col("bits").alias(data))), at, "left")
+            parts.append(part.withColumn(flag, F.coalesce(hit, F.lit(False))).drop(at, data, place))
+        return reduce(DataFrame.unionByName, parts)
 
 
 def mark(rows: DataFrame, id_col: str, keys: DataFrame | None = None) -> DataFrame:
@@ -75,11 +86,10 @@ def mark(rows: DataFrame, id_col: str, keys: DataFrame | None = None) -> DataFra
     ``keys``: the same rows' id and ``SHA`` alone, written, if ``rows`` carry more.
     """
     keys = rows if keys is None else keys
-    found = repeated_filter(keys, SHA)
-    flagged = flag_repeated(keys.select(id_col, SHA), SHA, found).where(FLAG)
-    groups = flagged.groupBy(SHA).agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1")
+    repeated = Filter(keys, (SHA,), 2)
+    groups = repeated.flagged(keys.select(id_col, SHA)).where(FLAG).groupBy(SHA).agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1")
     groups = common.cut(groups, "groups")
-    both = flag_repeated(rows, SHA, found)
+    both = repeated.flagged(rows)
     alone = both.where(~F.col(FLAG)).withColumn("keep_id", F.col(id_col)).withColumn("group_size", F.lit(1).cast("long"))
     maybe = both.where(FLAG).join(common.sized(groups, groups.count()), SHA, "left")
     maybe = maybe.withColumn("keep_id", F.when(F.col("group_size").isNull(), F.col(id_col)).otherwise(F.col("keep_id"))).withColumn("group_size", F.coalesce("group_size", F.lit(1).cast("long")))
@@ -88,7 +98,7 @@ def mark(rows: DataFrame, id_col: str, keys: DataFrame | None = None) -> DataFra
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id and digest of every row, written to the shared folder."""
-    return common.cut(docs.select(F.col(id_col).alias("doc_id"), text_sha(F.col(text_col)).alias(SHA)), "digests")
+    return common.cut(docs.select(common.col(id_col).alias("doc_id"), text_sha(common.col(text_col)).alias(SHA)), "digests")
 
 
 def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,12 +108,14 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one for each text, with the columns they came with."""
-    keys = digests(docs, id_col, text_col).withColumnRenamed("doc_id", id_col)
-    own = {c: common.private(f"own_{c}") for c in ("keep_id", "group_size", "kept") if c in docs.columns and c != id_col}
-    marked = mark(docs.withColumnsRenamed(own).withColumn(SHA, text_sha(F.col(text_col))), id_col, keys).where("kept")
+    keys = digests(docs, id_col, text_col).withColumnRenamed("doc_id", ID)
+    # All columns go by private names, whatever they are called.
+    own = {c: common.private(f"own_{k}") for k, c in enumerate(docs.columns)}
+    rows = docs.select(*(common.col(c).alias(x) for c, x in own.items()), common.col(id_col).alias(ID), text_sha(common.col(text_col)).alias(SHA))
+    marked = mark(rows, ID, keys).where("kept")
     whole = marked.where(F.col("group_size") > 1).dropDuplicates([SHA])
     out = marked.where(F.col("group_size") == 1).unionByName(whole)
-    return out.drop("keep_id", "group_size", "kept", SHA, FLAG).withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
+    return out.select(*(F.col(x).alias(c) for c, x in own.items()))
 
 
 def oracle() -> str:
