@@ -6,10 +6,11 @@ scanned so far, clean ones included. A scan takes addresses of all rows, scans
 only blobs that the ledger lacks for the rule version, each once, adds them,
 and joins findings back to every row by address.
 
-A broadcast filter of bounded size (:func:`tessera.llm.exact_dedup.repeated_filter`)
+A broadcast filter of bounded size (:class:`tessera.llm.exact_dedup.Filter`)
 tells rows whose blob is certainly met once and new: they are scanned where
-they are. Only the others' texts may shuffle, to the one row that stands for
-its blob.
+they are. A second one tells rows that may stand for a new blob; no other text
+moves, so texts that the ledger knows stay where they are. The ledger is cut into
+folders by address; only those of the rows' addresses are read.
 
 Edge cases: a null text is the empty blob; rows that repeat id and text share
 findings; an empty table adds nothing and gives an empty result.
@@ -20,7 +21,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import common, exact_dedup
@@ -84,36 +85,52 @@ def _scan(blobs: DataFrame) -> DataFrame:
     return blobs.select(F.col(SHA).alias("blob"), "text").mapInArrow(run, f"blob string, findings {FINDING}")
 
 
+def shard(blob: Column) -> Column:
+    """The folder of the ledger that an address lies in: its first two hex digits."""
+    return F.substring(blob, 1, 2)
+
+
 def read_ledger(spark: SparkSession, ledger: str, version: str = RULES_VERSION) -> DataFrame:
-    """(blob, findings) of a rule version; empty where the ledger has none."""
+    """(blob, findings, shard) of a rule version, one row a blob however often it was added; empty where the ledger has none."""
     folder = f"{ledger}/rules={version}"
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    schema = f"blob string, findings {FINDING}, shard string"
     if not there:
-        return spark.createDataFrame([], f"blob string, findings {FINDING}")
-    return spark.read.schema(f"blob string, findings {FINDING}").parquet(folder)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder).dropDuplicates(["blob"])
 
 
 def scan(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str = "text", version: str = RULES_VERSION) -> DataFrame:
-    """(doc_id, blob, findings) of every row; blobs new to the ledger are scanned and added first."""
+    """(doc_id, blob, findings) of every row; blobs new to the ledger are scanned and added first.
+
+    Which rows are to be scanned is decided on ids and addresses alone. Rows that
+    are certainly new and the only ones of their blob are scanned where they are;
+    of other texts only those that stand for a new blob may move.
+    """
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.sha2(text.cast("binary"), 256).alias(SHA))
+    text = F.coalesce(common.col(text_col), F.lit(""))
+    rows = docs.select(common.col(id_col).alias("doc_id"), text.alias("text"), F.sha2(text.cast("binary"), 256).alias(SHA))
     paths = common.cut(rows.select("doc_id", SHA), "addresses")
-    known = common.cut(read_ledger(spark, ledger, version).select(F.col("blob").alias(SHA)).distinct(), "known")
+    # At most 256 shards; only those that these rows' addresses lie in are read.
+    shards = [r[0] for r in paths.select(shard(F.col(SHA))).distinct().collect()]
+    known = read_ledger(spark, ledger, version).where(F.col("shard").isin(shards)).select(F.col("blob").alias(SHA))
+    known = common.cut(known, "known")
     # A known blob counts twice, so its rows are never taken for new ones.
-    found = exact_dedup.repeated_filter(paths.select(SHA).unionAll(known).unionAll(known), SHA)
-    flagged = exact_dedup.flag_repeated(paths, SHA, found).where(exact_dedup.FLAG)
-    stands = flagged.groupBy(SHA).agg(F.min("doc_id").alias("stands")).join(known, SHA, "left_anti")
-    stands = common.cut(stands, "stand-ins")
-    both = exact_dedup.flag_repeated(rows, SHA, found)
+    repeated = exact_dedup.Filter(paths.select(SHA).unionAll(known).unionAll(known), (SHA,), 2)
+    flagged = repeated.flagged(paths).where(exact_dedup.FLAG)
+    stands = flagged.groupBy(SHA).agg(F.min("doc_id").alias("doc_id")).join(known, SHA, "left_anti")
+    stands = common.cut(stands.select("doc_id", SHA), "stand-ins")
+    chosen = exact_dedup.Filter(stands, ("doc_id", SHA), 1)
+    both = repeated.flagged(rows)
     alone = both.where(~F.col(exact_dedup.FLAG))
-    some = common.sized(stands.withColumnRenamed(SHA, "sha"), stands.count())
-    first = both.where(exact_dedup.FLAG).join(some, (F.col(SHA) == F.col("sha")) & F.col("doc_id").eqNullSafe(F.col("stands")))
+    some = common.sized(stands.select(F.col("doc_id").alias("stands"), F.col(SHA).alias("sha")), stands.count())
+    moved = chosen.flagged(both.where(exact_dedup.FLAG).drop(exact_dedup.FLAG)).where(exact_dedup.FLAG)
+    first = moved.join(some, (F.col(SHA) == F.col("sha")) & F.col("doc_id").eqNullSafe(F.col("stands")))
     # Rows that repeat both id and text would be scanned more than once; the ledger keeps one.
     scanned = _scan(alone.select(SHA, "text")).unionByName(_scan(first.select(SHA, "text")).dropDuplicates(["blob"]))
-    scanned.write.mode("append").parquet(f"{ledger}/rules={version}")
-    done = read_ledger(spark, ledger, version)
+    scanned.withColumn("shard", shard(F.col("blob"))).hint("rebalance", "shard").write.mode("append").partitionBy("shard").parquet(f"{ledger}/rules={version}")
+    done = read_ledger(spark, ledger, version).where(F.col("shard").isin(shards))
     return paths.withColumnRenamed(SHA, "blob").join(done, "blob").select("doc_id", "blob", "findings")
 
 
