@@ -171,11 +171,40 @@ def test_exact_dedup(docs, empty):
 
 def test_bloom_has_no_false_negative(spark):
     keys = spark.range(3000).select(F.concat(F.lit("k"), F.col("id") % 2500).alias("key"))
-    found = exact_dedup.repeated_filter(keys, "key")
-    flagged = exact_dedup.flag_repeated(keys.distinct(), "key", found).where(exact_dedup.FLAG)
+    found = exact_dedup.Filter(keys, ("key",), 2)
+    flagged = found.flagged(keys.distinct()).where(exact_dedup.FLAG)
     names = {r.key for r in flagged.collect()}
-    assert {f"k{k}" for k in range(500)} <= names and len(names) < 700
-    assert exact_dedup.flag_repeated(keys, "key", None).where(exact_dedup.FLAG).count() == 3000
+    assert {f"k{k}" for k in range(500)} <= names and len(names) < 800
+    every = exact_dedup.Filter(keys, ("key",), 1)
+    assert every.flagged(keys).where(exact_dedup.FLAG).count() == 3000
+    assert every.flagged(spark.range(3000).select(F.concat(F.lit("x"), "id").alias("key"))).where(exact_dedup.FLAG).count() < 400
+
+
+def test_filters_by_slices_give_equal_results(spark, docs, monkeypatch):
+    whole = sorted(map(str, exact_dedup.duplicates(docs).collect()))
+    ledger = common.fresh_path(spark, "ledger")
+    found = sorted(map(str, secret_scan.scan(docs, ledger).collect()))
+    monkeypatch.setattr(exact_dedup, "CELLS", 64)
+    assert exact_dedup.Filter(docs, ("text",), 2).slices == 4
+    assert sorted(map(str, exact_dedup.duplicates(docs).collect())) == whole
+    assert exact_dedup.deduplicated(docs).count() == len({lower(r[1]) for r in ROWS})
+    assert sorted(map(str, secret_scan.scan(docs, common.fresh_path(spark, "ledger")).collect())) == found
+    assert sorted(map(str, secret_scan.scan(docs, ledger).collect())) == found
+
+
+def test_known_texts_stay_where_they_are(spark, docs):
+    ledger = common.fresh_path(spark, "ledger")
+    for _ in range(2):
+        # Blobs added twice, as by two scans at once, are still one row.
+        secret_scan._scan(docs.select(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias(secret_scan.SHA), F.coalesce("text", F.lit("")).alias("text"))).withColumn("shard", secret_scan.shard(F.col("blob"))).write.mode("append").partitionBy("shard").parquet(f"{ledger}/rules={secret_scan.RULES_VERSION}")
+    scanned = []
+    one = secret_scan._scan
+    try:
+        secret_scan._scan = lambda blobs: scanned.append(blobs.count()) or one(blobs)
+        assert secret_scan.scan(docs, ledger).count() == len(ROWS)
+    finally:
+        secret_scan._scan = one
+    assert scanned == [0, 0]
 
 
 def test_native_plans_have_no_python(docs):
@@ -243,7 +272,7 @@ def test_language_id(spark, docs, empty):
 def langid_counts(rows):
     counts = np.zeros((langid.BUCKETS, 2))
     for _, t, x in rows[:200]:
-        counts[:, ("aa", "bb").index(x)] += np.bincount(langid.trigrams(t), minlength=langid.BUCKETS)
+        counts[:, ("aa", "bb").index(x)] += langid.gram_counts(t)
     return counts
 
 
