@@ -23,8 +23,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     ship(spark)
     model = langid.learn(docs.select("text", "lang"))
-    found = langid.predict(docs, model, carry=tuple(docs.columns))
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    predicted = common.private("lang_pred")
+    found = langid.predict(docs, model, carry=tuple(docs.columns), lang_col=predicted, score_col=common.private("lang_score"))
+    return found.where(F.col(predicted) != langid.UNKNOWN).select(*map(common.col, docs.columns))
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
