@@ -126,9 +126,8 @@ def recorded(spark, sf):
 
 def bench_sides(spark, sf):
     rows = B.bench_clean(records(spark, sf))
-    none = F.lit(None).cast("string")
-    parsed = rows.withColumn("parts", address.parse_address("address", none, "state", "zip")).select(*[c for c in rows.columns if c != "state"], "parts.*")
-    parsed = parsed.drop("zip5").join(rows.select("id", "zip5"), "id").withColumn("city_norm", F.col("city"))
+    parsed = address.with_address(rows, "address", None, "state", "zip").select(*[c for c in rows.columns if c not in ("state", "zip5")], "parts.*")
+    parsed = parsed.withColumn("city_norm", F.col("city"))
     return parsed.where("src = 0"), parsed.where("src > 0")
 
 
@@ -222,10 +221,51 @@ def domain_extract(spark, sf):
     return table(spark, sf, "pages").select("page_id", host.alias("host"), F.when(host.isNotNull(), text.domain_suffix(host)).alias("suffix"))
 
 
-@query()
+_STATE_OF = f"coalesce({oracle.cased('{x}', oracle.vocab.STATES)}, CASE WHEN upper({{x}}) IN ({oracle.listed(sorted(set(oracle.vocab.STATES.values())))}) THEN upper({{x}}) END)"
+
+
+def _address_sql() -> str:
+    a, sq = address, oracle.sq
+    given = f"CASE WHEN NOT {oracle.missing('state')} THEN {_STATE_OF.replace('{x}', sq('state'))} END"
+    word = "regexp_extract({x}, '" + a.LAST_WORD + "', 1)"
+    bare = f"regexp_replace(x, '{a.POSTCODES}', '')"
+    own = _STATE_OF.replace("{x}", word.replace("{x}", bare))
+    tail = f"regexp_matches(CASE WHEN {own} = code OR code IS NULL AND {own} IS NOT NULL THEN regexp_replace({bare}, '{a.LAST_WORD}', '') ELSE {bare} END, '{a.UNIT_ONLY}')"
+    left_state = _STATE_OF.replace("{x}", word.replace("{x}", "l1"))
+    step = "(SELECT *, {new} FROM {old})"
+    steps = [
+        f"CASE WHEN {oracle.missing('address')} THEN '' ELSE lower(strip_accents(address)) END AS folded",
+        f"list_transform(string_split(folded, ','), lambda x: {sq('x')}) AS raw_chunks",
+        f"list_filter(list_transform(raw_chunks, lambda x: nullif(regexp_extract(x, '{a.BOX}', 1), '')), lambda x: x IS NOT NULL)[1] AS box, "
+        f"list_filter(list_transform(raw_chunks, lambda x: trim(regexp_replace(x, '{a.BOX_PHRASE}', '', 'g'))), lambda x: x <> '') AS chunks",
+        "array_to_string(chunks, ' ') AS line, len(chunks) > 1 AS commas",
+        "list_slice(string_split(line, ' '), -3, -1) AS last3",
+        f"CASE WHEN NOT {oracle.missing('zip')} THEN CASE WHEN length(regexp_replace(zip, '\\D', '', 'g')) >= 5 THEN substring(regexp_replace(zip, '\\D', '', 'g'), 1, 5) END ELSE nullif(regexp_extract(line, '{a.ZIP}', 1), '') END AS z, "
+        f"coalesce({given}, list_filter(list_transform([array_to_string(last3[-3:-2], ' '), array_to_string(last3[-2:-1], ' '), last3[-3], last3[-2], last3[-1]], lambda x: {_STATE_OF.replace('{x}', 'x')}), lambda x: x IS NOT NULL)[1]) AS code",
+        "CASE WHEN z IS NOT NULL THEN regexp_replace(line, '(?:^| )[0-9]{5}$', '') ELSE line END AS l1",
+        f"CASE WHEN regexp_matches(l1, '(?:^| )[a-z]+$') AND {left_state} = code THEN regexp_replace(l1, '(?:^| )[a-z]+$', '') ELSE l1 END AS l2",
+        f"CASE WHEN NOT {oracle.missing('zip')} AND z IS NULL THEN regexp_replace(l2, '(?:^| )[0-9]+$', '') ELSE l2 END AS l3, list_filter(chunks[2:], lambda x: NOT {tail})[-1] AS later",
+        f"CASE WHEN box IS NOT NULL THEN '' WHEN commas THEN chunks[1] WHEN regexp_matches(l3, '{a.TO_SUFFIX}') THEN regexp_extract(l3, '{a.TO_SUFFIX}', 1) WHEN regexp_matches(l3, '{a.TO_SECOND}') THEN regexp_extract(l3, '{a.TO_SECOND}', 1) ELSE l3 END AS street, "
+        f"CASE WHEN box IS NOT NULL OR commas THEN '' WHEN regexp_matches(l3, '{a.TO_SUFFIX}') THEN regexp_extract(l3, '{a.TO_SUFFIX}', 2) ELSE regexp_extract(l3, '{a.TO_SECOND}', 2) END AS after, "
+        "CASE WHEN box IS NOT NULL THEN chunks[1] WHEN commas AND later <> chunks[1] THEN later END AS place",
+        f"regexp_matches(after, '{a.UNIT_FIRST}') AS ahead, regexp_matches(street, '{a.UNIT_LATER}') AS behind",
+        f"CASE WHEN ahead THEN regexp_extract(after, '{a.UNIT_FIRST}', 1) ELSE nullif(regexp_extract(street, '{a.UNIT_LATER}', 2), '') END AS unit, CASE WHEN ahead THEN regexp_extract(after, '{a.UNIT_FIRST}', 2) ELSE after END AS rest, "
+        f"CASE WHEN NOT ahead AND behind THEN regexp_extract(street, '{a.UNIT_LATER}', 1) ELSE street END AS s2",
+        f"nullif(regexp_extract(s2, '{a.HOUSE}', 1), '') AS house_number, CASE WHEN regexp_matches(s2, '{a.HOUSE}') THEN regexp_extract(s2, '{a.HOUSE}', 2) ELSE s2 END AS r1",
+        f"regexp_extract(r1, '{a.DIRECTION_FIRST}', 1) AS d, regexp_replace(r1, '{a.DIRECTION_FIRST}', '') AS r2",
+    ]
+    table = "rec"
+    for new in steps:
+        table = step.replace("{new}", new).replace("{old}", table)
+    return (
+        f"SELECT id, house_number, {oracle.cased('d', oracle.vocab.DIRECTION)} AS street_dir, nullif(trim(regexp_replace(r2, '{a.SUFFIX_LAST}', '')), '') AS street_name, "
+        + f"{oracle.cased(f"regexp_extract(r2, '{a.SUFFIX_LAST}', 1)", oracle.vocab.STREET)} AS street_suffix, unit, box AS po_box, coalesce(place, nullif(rest, '')) AS city, code AS state, z AS zip5, nullif(line, '') AS address_norm FROM {table}"
+    )
+
+
+@query(_address_sql(), "rec")
 def address_parse(spark, sf):
-    none = F.lit(None).cast("string")
-    return records(spark, sf).select("id", address.parse_address("address", none, "state", "zip").alias("p")).select("id", "p.*")
+    return address.with_address(records(spark, sf), "address", None, "state", "zip").select("id", "parts.*")
 
 
 _WORLD = r"trim(regexp_replace(lower(strip_accents({x})), '[^\p{L}\p{M}\p{N}]+', ' ', 'g'))"

@@ -54,17 +54,31 @@ def test_codes(spark):
     assert column(spark, ["Restaurants", "Eating Places", "Auto Repair Shops", "Blue Widgets"], text.category) == ["restaurant", "restaurant", "auto", "blue widget"]
 
 
-def test_addresses():
-    for raw in ("123 N Main St, Springfield, IL 62704", "123 North Main Street, Springfield, Illinois 62704", "123 N Main St Springfield IL 62704"):
-        p = address.parse(raw)
-        assert (p["house_number"], p["street_name"], p["street_suffix"], p["city"], p["state"], p["zip5"]) == ("123", "main", "street", "springfield", "IL", "62704"), raw
-    p = address.parse("123 North Main Street Suite 200")
-    assert (p["street_name"], p["street_suffix"], p["unit"]) == ("main", "street", "200")
-    p = address.parse("789 N Elm Rd Salt Lake City UT 84101")
-    assert (p["street_dir"], p["street_name"], p["street_suffix"], p["city"], p["state"]) == ("n", "elm", "road", "salt lake city", "UT")
-    assert [address.parse("55 Broadway, New York, NY, 10006")[k] for k in ("city", "state")] == ["new york", "NY"]
-    p = address.parse("P.O. Box 99, Denver, CO 80202")
-    assert (p["po_box"], p["city"], p["state"], p["zip5"], p["street_name"]) == ("99", "denver", "CO", "80202", None)
+def parse(spark, *rows):
+    full = [(k, *r, *[None] * (4 - len(r))) for k, r in enumerate(rows)]
+    found = address.with_address(spark.createDataFrame(full, "k int, a string, c string, s string, z string"), "a", "c", "s", "z")
+    return [r.parts.asDict() for r in found.orderBy("k").collect()]
+
+
+def test_addresses(spark):
+    raw = ("123 N Main St, Springfield, IL 62704", "123 North Main Street, Springfield, Illinois 62704", "123 N Main St Springfield IL 62704")
+    for p in parse(spark, *((r,) for r in raw)):
+        assert (p["house_number"], p["street_name"], p["street_suffix"], p["city"], p["state"], p["zip5"]) == ("123", "main", "street", "springfield", "IL", "62704")
+    suite, elm, broadway, box = parse(spark, ("123 North Main Street Suite 200",), ("789 N Elm Rd Salt Lake City UT 84101",), ("55 Broadway, New York, NY, 10006",), ("P.O. Box 99, Denver, CO 80202",))
+    assert (suite["street_name"], suite["street_suffix"], suite["unit"]) == ("main", "street", "200")
+    assert (elm["street_dir"], elm["street_name"], elm["street_suffix"], elm["city"], elm["state"]) == ("n", "elm", "road", "salt lake city", "UT")
+    assert (broadway["city"], broadway["state"]) == ("new york", "NY")
+    assert (box["po_box"], box["city"], box["state"], box["zip5"], box["street_name"]) == ("99", "denver", "CO", "80202", None)
+
+
+def test_address_forms_agree(spark):
+    forms = [("123 North Main St., Ste. 200, Springfield, IL 62704",), ("123 N MAIN ST STE 200, SPRINGFIELD, IL  62704-1234",), ("123 N Main St", "Springfield", "IL", "62704"), ("123 N Main St, Springfield, Illinois 62704",)]
+    found = parse(spark, *forms)
+    for p in found:
+        assert [p[k] for k in ("house_number", "street_name", "street_suffix", "city", "state", "zip5")] == ["123", "main", "street", "springfield", "IL", "62704"]
+    assert [p["unit"] for p in found] == [None, "200", None, None]
+    for p in parse(spark, (None,), ("",), ("N/A",), (",",)):
+        assert p["house_number"] is None and p["address_norm"] is None
 
 
 def test_kernels():
