@@ -86,8 +86,8 @@ def _scan(blobs: DataFrame) -> DataFrame:
 
 
 def shard(blob: Column) -> Column:
-    """The folder of the ledger that an address lies in: its first two hex digits."""
-    return F.substring(blob, 1, 2)
+    """The folder of the ledger that an address lies in: its first hex digit."""
+    return F.substring(blob, 1, 1)
 
 
 def read_ledger(spark: SparkSession, ledger: str, version: str = RULES_VERSION) -> DataFrame:
@@ -112,7 +112,7 @@ def scan(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str = "
     text = F.coalesce(common.col(text_col), F.lit(""))
     rows = docs.select(common.col(id_col).alias("doc_id"), text.alias("text"), F.sha2(text.cast("binary"), 256).alias(SHA))
     paths = common.cut(rows.select("doc_id", SHA), "addresses")
-    # At most 256 shards; only those that these rows' addresses lie in are read.
+    # At most 16 shards; only those that these rows' addresses lie in are read.
     shards = [r[0] for r in paths.select(shard(F.col(SHA))).distinct().collect()]
     known = read_ledger(spark, ledger, version).where(F.col("shard").isin(shards)).select(F.col("blob").alias(SHA))
     known = common.cut(known, "known")
