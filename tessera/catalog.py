@@ -9,6 +9,7 @@ from __future__ import annotations
 import functools
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -25,7 +26,12 @@ from tessera.plans.views import lines, records, table
 from tessera.sources.ship import ship
 from tessera.sources.staging import spread, stage
 
-CFG = B.Blocking(rules=B.PREFIX | B.CITY_PREFIX | B.TOKEN, df_ratio=0.14, df_most=10**9, max_bucket=5, cap=5, rule_cap=2)
+#: The default limits; only the frequency cutoff is wider, as the test tables' names have few words.
+CFG = B.Blocking(rules=B.PREFIX | B.CITY_PREFIX | B.TOKEN, df_ratio=0.14)
+#: Limits so low that the small tables reach them, for the queries that show the limits at work.
+TIGHT = replace(CFG, max_bucket=5, cap=5, rule_cap=2)
+_TIGHT = {"bucket": "5", "cap": "5", "rule_cap": "2"}
+SCALE = B.Scale(df_ratio=0.14)
 DECISION = D.Decision()
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,11 +164,11 @@ def squash_lines(spark, sf):
 @query(
     r"""SELECT doc_id, array_to_string(list_filter(w, lambda t: regexp_matches(t, '[a-z]')), ' ') AS latin,
     array_to_string(list_filter(w, lambda t: NOT regexp_matches(t, '[a-z]') AND regexp_matches(t, '\p{L}')), ' ') AS other
-    FROM (SELECT doc_id, string_split_regex(lower(line), '[^\p{L}\p{M}\p{N}]+') AS w FROM line)""",
+    FROM (SELECT doc_id, string_split_regex(lower(strip_accents(line)), '[^\p{L}\p{M}\p{N}]+') AS w FROM line)""",
     "line",
 )
 def script_split(spark, sf):
-    latin, other = text.split_scripts(F.col("line"))
+    latin, other = text.split_scripts(worldwide.fold(F.col("line")))
     return lines(spark, sf).select("doc_id", F.array_join(latin, " ").alias("latin"), F.array_join(other, " ").alias("other"))
 
 
@@ -277,23 +283,25 @@ def unicode_squash(spark, sf):
     return lines(spark, sf).select("doc_id", worldwide.squash(F.col("line")).alias("squashed"))
 
 
-@query(
+_SQL_NAME = (
     "SELECT id, norm, coalesce(nullif("
     + oracle._tail(oracle._tail("norm", worldwide.LEGAL), worldwide.GENERIC)
-    + ", ''), norm) AS core FROM (SELECT id, CASE WHEN NOT "
+    + ", ''), norm) AS core, array_to_string(list_filter(w, lambda t: regexp_matches(t, '[a-z]')), ' ') AS latin, "
+    + r"array_to_string(list_filter(w, lambda t: NOT regexp_matches(t, '[a-z]') AND regexp_matches(t, '\p{L}')), ' ') AS other FROM (SELECT *, string_split(norm, ' ') AS w FROM (SELECT id, CASE WHEN NOT "
     + oracle.missing("name")
     + " THEN nullif("
     + _WORLD.replace("{x}", r"regexp_replace(lower(strip_accents(name)), '\b(?:d b a|a k a|f k a|dba|aka|fka)\b.*$', '', 's')")
-    + ", '') END AS norm FROM rec)",
-    "rec",
+    + ", '') END AS norm FROM rec))"
 )
+
+
+@query(_SQL_NAME, "rec")
 def unicode_name(spark, sf):
-    norm, core = worldwide.name(F.col("name"))
-    return records(spark, sf).select("id", norm.alias("norm"), core.alias("core"))
+    norm, core, latin, other = worldwide.name(F.col("name"))
+    return records(spark, sf).select("id", norm.alias("norm"), core.alias("core"), F.array_join(latin, " ").alias("latin"), F.array_join(other, " ").alias("other"))
 
 
-@query(
-    f"""SELECT id, z AS zip, CASE WHEN regexp_matches(words[1], '^\\d+[a-z]?$') THEN words[1] END AS number, CASE WHEN len(street) > 0 THEN array_to_string(street[1:6], ' ') END AS street_core,
+_SQL_ADDRESS = f"""SELECT id, z AS zip, CASE WHEN regexp_matches(words[1], '^\\d+[a-z]?$') THEN words[1] END AS number, CASE WHEN len(street) > 0 THEN array_to_string(street[1:6], ' ') END AS street_core,
     CASE WHEN len(chunks) > 1 THEN chunks[-1] ELSE list_filter(words, lambda t: z IS NULL OR t <> z)[-1] END AS city,
     list_filter(chunks[2:len(chunks) - 1], lambda c: coalesce(list_contains(string_split(c, ' '), z), false) OR len(string_split(c, ' ')) <= 2)[-1] AS region
     FROM (SELECT *, CASE WHEN len(own) > 0 THEN own ELSE plain END AS street FROM (
@@ -301,9 +309,10 @@ def unicode_name(spark, sf):
         SELECT id, words, chunks, list_filter(words, lambda t: regexp_matches(t, '^\\d{{5,6}}$'))[1] AS z,
           list_filter(string_split(chunks[1], ' '), lambda t: t NOT IN ({oracle.listed(worldwide.SCAFFOLD)})) AS plain FROM (
           SELECT id, coalesce(list_filter(string_split({_WORLD.replace("{x}", "address")}, ' '), lambda t: t <> ''), {_LISTS}) AS words,
-            list_filter(list_transform(string_split(address, ','), lambda c: {_WORLD.replace("{x}", "c")}), lambda c: c <> '') AS chunks FROM rec))))""",
-    "rec",
-)
+            list_filter(list_transform(string_split(address, ','), lambda c: {_WORLD.replace("{x}", "c")}), lambda c: c <> '') AS chunks FROM rec))))"""
+
+
+@query(_SQL_ADDRESS, "rec")
 def worldwide_address(spark, sf):
     return records(spark, sf).select("id", *(c.alias(n) for n, c in worldwide.address(F.col("address")).items()))
 
@@ -338,10 +347,10 @@ def block_keys(spark, sf):
     return B.keys(s1, CFG, B.informative(s1, CFG)).unionByName(B.keys(others, CFG))
 
 
-@query("SELECT bit, key, count(*) AS n FROM keys WHERE src = 0 GROUP BY bit, key HAVING count(*) > {bucket}", "keys")
+@query("SELECT bit, key, count(*) AS n FROM keys WHERE src = 0 GROUP BY bit, key HAVING count(*) > {bucket}", "keys", **_TIGHT)
 def hot_buckets(spark, sf):
     s1, _ = sides(spark, sf)
-    return B.hot_buckets(B.keys(s1, CFG, B.informative(s1, CFG)), CFG)
+    return B.hot_buckets(B.keys(s1, TIGHT, B.informative(s1, TIGHT)), TIGHT)
 
 
 def _one(rule: int):
@@ -378,9 +387,9 @@ def cand_union_bitmask(spark, sf):
     return found(spark, sf)
 
 
-@query("SELECT s1_id, src, id, mask FROM kept", "kept")
+@query("SELECT s1_id, src, id, mask FROM kept", "kept", **_TIGHT)
 def cand_capped(spark, sf):
-    return kept(spark, sf).select("s1_id", "src", "id", "mask")
+    return B.capped(found(spark, sf, TIGHT), TIGHT.cap).select("s1_id", "src", "id", "mask")
 
 
 _NARROW = """
@@ -394,7 +403,7 @@ def _narrow_sql() -> str:
     parts, prev = [_NARROW], "a0"
     for k, bit in enumerate((2, 1, 4)):
         parts.append(
-            f"b{k} AS (SELECT *, NOT d{k} AND h{bit} > 2 AND sum(CASE WHEN m{k} & {bit} <> 0 AND shares THEN 1 ELSE 0 END) OVER (PARTITION BY src, id) > 0 AS o{k} FROM {prev}),\n"
+            f"b{k} AS (SELECT *, NOT d{k} AND h{bit} > {{rule_cap}} AND sum(CASE WHEN m{k} & {bit} <> 0 AND shares THEN 1 ELSE 0 END) OVER (PARTITION BY src, id) > 0 AS o{k} FROM {prev}),\n"
             f"c{k} AS (SELECT *, CASE WHEN o{k} AND m{k} & {bit} <> 0 AND NOT shares THEN m{k} - {bit} ELSE m{k} END AS m{k + 1} FROM b{k}),\n"
             f"a{k + 1} AS (SELECT *, d{k} OR (o{k} AND count(*) OVER (PARTITION BY src, id) <= {{cap}}) AS d{k + 1} FROM c{k} WHERE m{k + 1} <> 0)"
         )
@@ -402,9 +411,9 @@ def _narrow_sql() -> str:
     return ",\n".join(parts)
 
 
-@query(", " + _narrow_sql() + " SELECT s1_id, src, id, m3 AS mask FROM a3", "found", "s1", "oth")
+@query(", " + _narrow_sql() + " SELECT s1_id, src, id, m3 AS mask FROM a3", "found", "s1", "oth", **_TIGHT)
 def cand_narrowed(spark, sf):
-    return B.narrowed(found(spark, sf), *sides(spark, sf), CFG).select("s1_id", "src", "id", "mask")
+    return B.narrowed(found(spark, sf, TIGHT), *sides(spark, sf), TIGHT).select("s1_id", "src", "id", "mask")
 
 
 @query(
@@ -450,22 +459,50 @@ def rule_attribution(spark, sf):
     return D.rule_attribution(kept(spark, sf), decided(spark, sf), B.NAMES)
 
 
-@query("SELECT a.id AS s1_id, b.id, bit_or(a.bit)::BIGINT AS mask FROM benchkeys a JOIN (SELECT *, count(*) OVER (PARTITION BY bit, key) AS n FROM benchkeys WHERE src > 0) b ON a.bit = b.bit AND a.key = b.key WHERE a.src = 0 AND b.n <= 40 GROUP BY ALL", "benchkeys")
+@query("SELECT s1_id, id, mask FROM benchfound", "benchfound")
 def bench_candidates(spark, sf):
-    rows = B.bench_clean(records(spark, sf))
-    return B.bench_pairs(rows.where("src = 0"), rows.where("src > 0"), skip=("soundex",))
+    rows = stage(B.bench_clean(records(spark, sf)))
+    return B.bench_pairs(rows.where("src = 0"), rows.where("src > 0"))
+
+
+@query(
+    "SELECT key, count(*) AS pairs, count(hit) AS n_found, round(count(hit) / (SELECT count(*) FROM truth), 6) AS recall FROM (SELECT unnest(list_filter(["
+    + ", ".join(f"CASE WHEN mask & {1 << k} <> 0 THEN '{n}' END" for k, n in enumerate(B.BENCH_KEYS))
+    + "], lambda x: x IS NOT NULL)) AS key, t.id AS hit FROM benchfound f LEFT JOIN truth t ON f.s1_id = t.s1_id AND f.id = t.id) GROUP BY key",
+    "benchfound",
+    "truth",
+)
+def bench_recall(spark, sf):
+    """Pairs and true pairs by key."""
+    return B.recall_by_key(truth(spark, sf), bench_candidates(spark, sf), {1 << k: n for k, n in enumerate(B.BENCH_KEYS)})
+
+
+@query("SELECT id, soundex FROM (SELECT id, " + oracle.soundex("name_core") + " AS soundex FROM clean)", "clean")
+def soundex_codes(spark, sf):
+    return cleaned(spark, sf).select("id", kernels.soundex_of(F.col("name_core")).alias("soundex"))
+
+
+_WIDE = f"""wide AS (SELECT p.id, p.src, country_norm AS country, core, string_split(latin, ' ') AS latin, string_split(other, ' ') AS other, a.zip, number, a.city
+  FROM clean p JOIN ({_SQL_NAME}) n ON p.id = n.id JOIN ({_SQL_ADDRESS}) a ON p.id = a.id)"""
+_NINE = f"""nine AS (SELECT * FROM (SELECT 'core_exact' AS t, country || '|' || core AS key, id, src FROM wide UNION ALL SELECT 'prefix8', country || '|' || substring(core, 1, 8), id, src FROM wide
+  UNION ALL SELECT 'number_city', country || '|' || number || '|' || city, id, src FROM wide UNION ALL SELECT 'soundex', country || '|' || {oracle.soundex("core")}, id, src FROM wide
+  UNION ALL SELECT 'zip', country || '|' || zip, id, src FROM wide UNION ALL SELECT 'city_prefix', country || '|' || city || '|' || substring(core, 1, 4), id, src FROM wide
+  UNION ALL SELECT 'prefix4', country || '|' || substring(core, 1, 4), id, src FROM wide
+  UNION ALL SELECT 'latin_token', unnest(list_distinct(list_filter(latin, lambda x: length(x) BETWEEN 3 AND 24))), id, src FROM wide
+  UNION ALL SELECT 'other_token', unnest(list_distinct(list_filter(other, lambda x: length(x) BETWEEN 3 AND 24))), id, src FROM wide) WHERE key IS NOT NULL)"""
 
 
 @query(
-    """SELECT s1_id, id FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY id) AS p FROM (SELECT DISTINCT a.id AS s1_id, b.id FROM (SELECT * FROM wide WHERE src = 0) a
-    JOIN (SELECT *, count(*) OVER (PARTITION BY bit, key) AS n, row_number() OVER (PARTITION BY bit, key ORDER BY id) AS place FROM wide WHERE src > 0) b ON a.bit = b.bit AND a.key = b.key WHERE n <= 400 AND place <= 8)) WHERE p <= 32""".replace(
-        "FROM wide",
-        "FROM (SELECT 1::BIGINT AS bit, country_norm || '|' || substring(name_core, 1, 8) AS key, id, src FROM clean WHERE country_norm IS NOT NULL AND name_core IS NOT NULL UNION ALL SELECT 2, country_norm || '|' || city_norm || '|' || substring(name_core, 1, 8), id, src FROM clean WHERE country_norm || city_norm || name_core IS NOT NULL UNION ALL SELECT 4, concat_ws('|', country_norm, token), id, src FROM (SELECT id, src, country_norm, unnest(list_distinct(list_filter(tokens, lambda t: length(t) >= 3))) AS token FROM clean))",
-    ),
+    f""", {_WIDE}, {_NINE},
+    rarest AS (SELECT * FROM (SELECT *, count(CASE WHEN src = 0 THEN 1 END) OVER (PARTITION BY t, key) AS df FROM nine) WHERE t NOT IN ('latin_token', 'other_token') OR df <= (SELECT greatest(2, floor(0.14::DOUBLE * count(*))) FROM s1))
+    SELECT s1_id, id FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY id) AS p FROM (SELECT DISTINCT a.id AS s1_id, b.id FROM (SELECT * FROM rarest WHERE src = 0) a
+    JOIN (SELECT *, count(*) OVER (PARTITION BY t, key) AS n, row_number() OVER (PARTITION BY t, key ORDER BY id) AS place FROM nine WHERE src > 0) b ON a.t = b.t AND a.key = b.key WHERE n <= 2000 AND place <= 20)) WHERE p <= 60""",
     "clean",
+    "s1",
 )
 def scale_candidates(spark, sf):
-    return B.scale_pairs(*sides(spark, sf), CFG)
+    rows = stage(B.scale_clean(spread(records(spark, sf))))
+    return B.scale_pairs(rows.where("src = 0"), rows.where("src > 0"), SCALE)
 
 
 # --- similarity and features ------------------------------------------------
@@ -516,7 +553,8 @@ def sim_jaccard_containment(spark, sf):
     df2 AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
     u AS (SELECT id, term, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM w)) / (1 + df)) + 1) AS u FROM tf JOIN df2 USING (term)),
     n AS (SELECT id, sqrt(sum(u * u)) AS n FROM u GROUP BY id)
-    SELECT k.s1_id, k.id, round(coalesce((SELECT sum(x.u * y.u) FROM u x JOIN u y ON x.term = y.term WHERE x.id = k.s1_id AND y.id = k.id) / (p.n * q.n), 0), 6) AS cosine FROM kept k JOIN n p ON p.id = k.s1_id JOIN n q ON q.id = k.id""",
+    , dots AS (SELECT k.s1_id, k.id, sum(x.u * y.u) AS d FROM kept k JOIN u x ON x.id = k.s1_id JOIN u y ON y.id = k.id AND x.term = y.term GROUP BY ALL)
+    SELECT k.s1_id, k.id, round(coalesce(d / (p.n * q.n), 0), 6) AS cosine FROM kept k JOIN n p ON p.id = k.s1_id JOIN n q ON q.id = k.id LEFT JOIN dots ON dots.s1_id = k.s1_id AND dots.id = k.id""",
     "clean",
     "kept",
 )
@@ -524,6 +562,22 @@ def sim_tfidf(spark, sf):
     return rounded(X.tfidf_cosine(kept(spark, sf), cleaned(spark, sf).select("id", "name_norm")), "cosine")
 
 
+@query(
+    """, w AS (SELECT id, list_transform(string_split(name_norm, ' '), lambda x: ' ' || x || ' ') AS w FROM clean WHERE name_norm IS NOT NULL),
+    g AS (SELECT id, unnest(w) AS x FROM w),
+    tf AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(list_transform(range(1, length(x) - 1), lambda i: x[i:i + 2]) || CASE WHEN length(x) >= 4 THEN list_transform(range(1, length(x) - 2), lambda i: x[i:i + 3]) ELSE CAST([] AS VARCHAR[]) END) AS term FROM g) GROUP BY id, term),
+    df2 AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    u AS (SELECT id, term, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM w)) / (1 + df)) + 1) AS u FROM tf JOIN df2 USING (term)),
+    n AS (SELECT id, sqrt(sum(u * u)) AS n FROM u GROUP BY id),
+    dots AS (SELECT k.s1_id, k.id, sum(x.u * y.u) AS d FROM kept k JOIN u x ON x.id = k.s1_id JOIN u y ON y.id = k.id AND x.term = y.term GROUP BY ALL)
+    SELECT k.s1_id, k.id, round(coalesce(d / (p.n * q.n), 0), 6) AS cosine FROM kept k JOIN n p ON p.id = k.s1_id JOIN n q ON q.id = k.id LEFT JOIN dots ON dots.s1_id = k.s1_id AND dots.id = k.id""",
+    "clean",
+    "kept",
+)
+def sim_tfidf_chars(spark, sf):
+    return rounded(X.tfidf_cosine(kept(spark, sf), cleaned(spark, sf).select("id", "name_norm"), X.char_grams), "cosine")
+
+
 @query(
     f"SELECT k.s1_id, k.id, round(2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))), 4) AS km {_PAIRS}", "kept", "s1", "oth"
 )
@@ -559,7 +613,10 @@ def pair_features_bench(spark, sf):
     a, b = bench_sides(spark, sf)
     found_ = B.bench_pairs(a, b)
     names = a.select("id", "name_norm").unionByName(b.select("id", "name_norm"))
-    return X.bench_features(found_, a, b).join(X.tfidf_cosine(found_, names).withColumnRenamed("cosine", "name_tfidf_cos"), ["s1_id", "id"])
+    out = X.bench_features(found_, a, b)
+    for name, grams in (("name_tfidf_cos", X.word_grams), ("name_tfidf_char_cos", X.char_grams)):
+        out = out.join(X.tfidf_cosine(found_, names, grams).withColumnRenamed("cosine", name), ["s1_id", "id"])
+    return out
 
 
 # --- decisions --------------------------------------------------------------
@@ -649,13 +706,54 @@ def threshold_best(spark, sf):
     return M.best_threshold(M.sweep(labelled(spark, sf)))
 
 
+_DENSE = """, lim AS (SELECT greatest(0.0, min(score))::DOUBLE AS lo, least(1.0, max(score))::DOUBLE AS hi FROM labelled),
+    points AS (SELECT DISTINCT t FROM (SELECT lo + k * ((hi - lo) / 199) AS t FROM lim, range(199) g(k) UNION ALL SELECT hi FROM lim UNION ALL SELECT 0.5::DOUBLE)),
+    tally2 AS (SELECT t, count_if(score >= t AND label = 1) AS tp, count_if(score >= t AND label = 0) AS fp, count_if(score < t AND label = 1) AS fn FROM labelled, points WHERE score IS NOT NULL GROUP BY t),
+    dense AS (SELECT round(t, 6) AS threshold, tp, fp, fn, round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1,
+      round(CASE WHEN tp + fp = 0 AND tp + fn = 0 THEN 1 WHEN tp = 0 THEN 0 ELSE 1.25 * p * r / (0.25 * p + r) END, 6) AS f05, tp + fp AS n_predicted
+      FROM (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS p, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS r FROM tally2))"""
+
+
+@query(_DENSE + " SELECT * FROM dense", "labelled")
+def threshold_dense(spark, sf):
+    return M.dense_sweep(stage(labelled(spark, sf)))
+
+
 @query(
-    """SELECT (SELECT max(threshold) FROM swept WHERE f05 = (SELECT max(f05) FROM swept)) AS max_f05,
-    (SELECT min(threshold) FROM ok WHERE recall = (SELECT max(recall) FROM ok)) AS at_precision""".replace("FROM ok", "FROM (SELECT * FROM swept WHERE precision >= 0.2 AND tp + fp >= 5)"),
-    "swept",
+    _DENSE
+    + """ SELECT (SELECT min(threshold) FROM dense WHERE f05 = (SELECT max(f05) FROM dense)) AS max_f05, (SELECT min(threshold) FROM dense WHERE f1 = (SELECT max(f1) FROM dense)) AS max_f1,
+    (SELECT min(threshold) FROM ok WHERE f1 = (SELECT max(f1) FROM ok)) AS at_precision""".replace("FROM ok", "FROM (SELECT * FROM dense WHERE precision >= 0.2 AND n_predicted >= 5)"),
+    "labelled",
 )
 def threshold_recommended(spark, sf):
-    return M.recommended(M.sweep(labelled(spark, sf)), 0.2)
+    return M.recommended(M.dense_sweep(stage(labelled(spark, sf))), 0.2)
+
+
+@query(
+    """SELECT (SELECT round(avg(CASE WHEN n_pred = 0 AND n_true = 0 THEN 1 WHEN tp = 0 THEN 0 ELSE 1.25 * (tp / n_pred) * (tp / n_true) / (0.25 * (tp / n_pred) + tp / n_true) END), 6) FROM tally) AS f05_macro,
+    (SELECT round(sum(tp) / sum(n_pred), 6) FROM tally) AS precision, (SELECT round(sum(tp) / sum(n_true), 6) FROM tally) AS recall,
+    (SELECT round(count(k.id) / count(*), 6) FROM (SELECT DISTINCT s1_id, id FROM truth) t LEFT JOIN kept k ON t.s1_id = k.s1_id AND t.id = k.id) AS recall_ceiling""",
+    "tally",
+    "kept",
+    "truth",
+)
+def run_score(spark, sf):
+    return M.run_score(sides(spark, sf)[0], matched(spark, sf), kept(spark, sf), truth(spark, sf)).select("f05_macro", "precision", "recall", "recall_ceiling")
+
+
+@query(
+    """SELECT src, count(*) AS scored_pairs, count_if(score >= 0.7) AS accepted_pairs, count(DISTINCT CASE WHEN score >= 0.7 THEN s1_id END) AS entities_matched, round(avg(CASE WHEN score >= 0.7 THEN score END), 4) AS mean_score,
+    round(min(CASE WHEN score >= 0.7 THEN score END), 4) AS least_score, round(100.0 * ((SELECT count(*) FROM s1) - count(DISTINCT CASE WHEN score >= 0.7 THEN s1_id END)) / (SELECT count(*) FROM s1), 2) AS without_match_pct FROM scored GROUP BY src""",
+    "scored",
+    "s1",
+)
+def pair_summary(spark, sf):
+    return D.pair_summary(sides(spark, sf)[0], scored(spark, sf), 0.7)
+
+
+@query("SELECT count(DISTINCT s1_id) AS entities, count(*) AS pairs, count(*) > 100 AS saturated FROM matched", "matched")
+def rollup_saturation(spark, sf):
+    return D.saturated(matched(spark, sf), 100)
 
 
 @query(
@@ -710,6 +808,33 @@ def silver_labels(spark, sf):
     return S.silver_labels(_bench(spark, sf)).select("s1_id", "id", F.round("rule_score", 6).alias("rule_score"), "stratum", "silver_label")
 
 
+@query()
+def label_distribution(spark, sf):
+    return S.label_distribution(S.silver_labels(_bench(spark, sf)))
+
+
+@query(
+    """, r AS (SELECT s.*, coalesce(country_exact > 0 AND city_exact > 0, false) AS near FROM scored s ANTI JOIN truth t ON s.s1_id = t.s1_id AND s.id = t.id),
+    pos AS (SELECT DISTINCT s.s1_id, s.id FROM scored s SEMI JOIN truth t ON s.s1_id = t.s1_id AND s.id = t.id), lim AS (SELECT 300 - count(*) AS n FROM pos),
+    cut AS (SELECT n, round_even(n * 0.7, 0)::BIGINT AS h, round_even(round_even(n * 0.7, 0)::BIGINT * 0.5, 0)::BIGINT AS l FROM lim),
+    a AS (SELECT * EXCLUDE p FROM (SELECT *, row_number() OVER (ORDER BY score DESC NULLS LAST, s1_id, id) AS p FROM r WHERE near) WHERE p <= (SELECT l FROM cut)),
+    b AS (SELECT * EXCLUDE p FROM (SELECT *, row_number() OVER (ORDER BY score DESC NULLS LAST, s1_id, id) AS p FROM r WHERE NOT near) WHERE p <= (SELECT h - l FROM cut)),
+    ab AS (SELECT * FROM a UNION ALL SELECT * FROM b),
+    c AS (SELECT * EXCLUDE p FROM (SELECT r.*, row_number() OVER (ORDER BY md5('42:' || r.s1_id || '|' || r.id), r.s1_id, r.id) AS p FROM r ANTI JOIN ab ON r.s1_id = ab.s1_id AND r.id = ab.id) WHERE p <= (SELECT n - h FROM cut))
+    SELECT s1_id, id, 1::INT AS label FROM pos UNION ALL
+    SELECT s1_id, id, 0 FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC NULLS LAST, s1_id, id) AS q FROM (SELECT * FROM ab UNION ALL SELECT * FROM c)) WHERE q <= 40""",
+    "scored",
+    "truth",
+)
+def training_sample(spark, sf):
+    return S.training_sample(stage(scored(spark, sf)), truth(spark, sf), 300)
+
+
+@query("SELECT s1_id, src, id FROM scored WHERE ('0x' || substring(md5(s1_id || '|' || id), 1, 8))::BIGINT % 10 = 0", "scored")
+def thinned_pairs(spark, sf):
+    return S.thinned(scored(spark, sf), F.concat_ws("|", "s1_id", "id"), 10).select("s1_id", "src", "id")
+
+
 @query()
 def labeling_sheet(spark, sf):
     return S.labeling_sheet(S.silver_labels(_bench(spark, sf)))

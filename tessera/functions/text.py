@@ -5,6 +5,7 @@ A missing value is NULL throughout; nothing here leaves the JVM.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from functools import lru_cache
 
@@ -18,9 +19,7 @@ from tessera.functions import vocab
 def _fold_table() -> tuple[str, str]:
     """Characters whose compatibility form without marks is one ASCII character, and those characters; then marks, which go."""
     source, target, marks = [], [], []
-    for code in range(0x80, 0x10000):
-        if 0xD800 <= code < 0xE000:
-            continue
+    for code in _coded():
         c = chr(code)
         if unicodedata.combining(c):
             marks.append(c)
@@ -32,9 +31,28 @@ def _fold_table() -> tuple[str, str]:
     return "".join(source + marks), "".join(target)
 
 
+def _coded():
+    """Code points beyond ASCII that may have a compatibility form; later planes have ideographs and signs only."""
+    return (c for a, b in ((0x80, 0xD800), (0xE000, 0x10000), (0x1D400, 0x1D800), (0x1E000, 0x20000)) for c in range(a, b))
+
+
+@lru_cache(maxsize=1)
+def _fold_wide() -> dict[str, str]:
+    """Characters whose compatibility form has several characters with some of ASCII, like ligatures and fractions."""
+    found = {}
+    for code in _coded():
+        plain = "".join(x for x in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(x))
+        if len(plain) > 1 and any(x.isascii() and x != " " for x in plain):
+            found[chr(code)] = plain
+    return found
+
+
 def fold(col: Column) -> Column:
-    """The text without accents."""
-    return F.when(F.length(col) == F.octet_length(col), col).otherwise(F.translate(col, *_fold_table()))
+    """The text without accents, in compatibility form as far as that is ASCII."""
+    wide = _fold_wide()
+    spelled = F.array_join(F.transform(F.split(col, ""), lambda c: F.coalesce(_table(wide)[c], c)), "")
+    one = F.when(col.rlike("[" + "".join(wide) + "]"), spelled).otherwise(col)
+    return F.when(F.length(col) == F.octet_length(col), col).otherwise(F.translate(one, *_fold_table()))
 
 
 def blank_to_null(col: Column) -> Column:
@@ -100,7 +118,8 @@ def zip_codes(raw: Column) -> tuple[Column, Column]:
 
 
 def _table(pairs: dict[str, str]) -> Column:
-    return F.create_map(*(F.lit(x) for kv in pairs.items() for x in kv))
+    """A map literal, made of one string that the optimiser reads once."""
+    return F.from_json(F.lit(json.dumps(pairs)), "map<string,string>")
 
 
 def state(raw: Column) -> Column:

@@ -65,12 +65,12 @@ def squash(col: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(fold(col)), r"[^\p{L}\p{M}\p{N}]+", " "))
 
 
-def name(raw: Column) -> tuple[Column, Column]:
-    """(norm, core) of a name in any script."""
+def name(raw: Column) -> tuple[Column, Column, Column, Column]:
+    """(norm, core, Latin tokens, tokens of other scripts) of a name in any script."""
     first = F.regexp_replace(F.lower(fold(raw)), rf"(?s)\b(?:{'|'.join(sorted(SECOND_NAME, key=len, reverse=True))})\b.*$", "")
     norm = F.when(~text.is_missing(raw), text.blank_to_null(squash(first)))
     core = text.strip_trailing(text.strip_trailing(norm, LEGAL), GENERIC)
-    return norm, F.coalesce(text.blank_to_null(core), norm)
+    return norm, F.coalesce(text.blank_to_null(core), norm), *text.split_scripts(norm)
 
 
 def address(raw: Column) -> dict[str, Column]:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.functions import kernels, text
+from tessera.functions import kernels, text, worldwide
 
 PREFIX, CITY_PREFIX, TOKEN, PHONETIC, ENTITY_ID, FUZZY, NEIGHBOR = (1 << k for k in range(7))
 NAMES = {
@@ -115,12 +115,16 @@ def hot_buckets(s1_keys: DataFrame, cfg: Blocking) -> DataFrame:
     return s1_keys.groupBy("bit", "key").agg(F.count("*").alias("n")).where((F.col("n") > cfg.max_bucket) & (F.col("bit") != ENTITY_ID))
 
 
+def cool(keyed: DataFrame, by: list[str], most: int) -> DataFrame:
+    """Rows of keys that at most ``most`` rows have; hot keys are counted with partial sums and taken out by an anti-join."""
+    return keyed.join(keyed.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > most), by, "left_anti")
+
+
 def pairs(s1: DataFrame, others: DataFrame, cfg: Blocking) -> DataFrame:
     """(s1_id, src, id, mask, token_hits): all pairs that share a key."""
     s1, others = with_phonetic(s1, cfg), with_phonetic(others, cfg)
     left = keys(s1, cfg, informative(s1, cfg) if cfg.rules & TOKEN else None).withColumnRenamed("id", "s1_id")
-    size = F.count("*").over(W.partitionBy("bit", "key"))
-    left = left.withColumn("n", size).where((F.col("n") <= cfg.max_bucket) | (F.col("bit") == ENTITY_ID)).drop("n")
+    left = left.join(hot_buckets(left, cfg), ["bit", "key"], "left_anti")
     right = keys(others, cfg)
     joined = left.join(right, ["bit", "key"]).groupBy("s1_id", "id").agg(F.bit_or("bit").alias("mask"), F.count(F.when(F.col("bit") == TOKEN, 1)).alias("token_hits"))
     return joined.join(others.select("id", "src"), "id").select("s1_id", "src", "id", "mask", "token_hits")
@@ -168,14 +172,23 @@ def neighborhood(s1: DataFrame, queries: DataFrame, reach: int) -> DataFrame:
     """(s1_id, src, id, gap, s1_name, name): reference rows whose place by name is within ``reach`` of a query's, by country.
 
     Places come from one sort of both sides; the range then unfolds into an
-    equi-join on (country, place).
+    equi-join on (country, place). A country is sorted in pieces by the first
+    letters of names, each piece's places starting where the ones before it end.
     """
+    start = F.substring("name", 1, 3)
+    piece = ["country", "start"]
     names = s1.where("name_core IS NOT NULL AND country_norm IS NOT NULL").select(F.col("country_norm").alias("country"), F.col("name_core").alias("s1_name"), F.col("id").alias("s1_id"))
-    placed = names.withColumn("place", F.row_number().over(W.partitionBy("country").orderBy("s1_name", "s1_id")) - 1)
+    sizes = names.select("country", F.substring("s1_name", 1, 3).alias("start")).groupBy(*piece).agg(F.count("*").alias("n"))
     asked = queries.where("name_core IS NOT NULL AND country_norm IS NOT NULL").select(F.col("country_norm").alias("country"), F.col("name_core").alias("name"), "id", "src")
     both = names.select("country", F.col("s1_name").alias("name"), F.lit(None).cast("string").alias("id"), F.lit(None).cast("long").alias("src"), F.lit(1).alias("is_s1")).unionByName(asked.select("country", "name", "id", F.col("src").cast("long").alias("src"), F.lit(0).alias("is_s1")))
-    before = F.sum("is_s1").over(W.partitionBy("country").orderBy("name", "is_s1").rowsBetween(W.unboundedPreceding, 0))
-    low = both.withColumn("low", before).where("is_s1 = 0")
+    # One row for each beginning of a name of a country; those that only queries have count nothing.
+    every = sizes.unionByName(asked.select("country", start.alias("start")).distinct().withColumn("n", F.lit(0).cast("long"))).groupBy(*piece).agg(F.sum("n").alias("n"))
+    offsets = every.select(*piece, (F.sum("n").over(W.partitionBy("country").orderBy("start")) - F.col("n")).alias("offset"))
+    inside = F.row_number().over(W.partitionBy(*piece).orderBy("s1_name", "s1_id")) - 1
+    placed = names.withColumn("start", F.substring("s1_name", 1, 3)).withColumn("inside", inside).join(offsets, piece)
+    placed = placed.select("country", "s1_name", "s1_id", (F.col("offset") + F.col("inside")).alias("place"))
+    before = F.sum("is_s1").over(W.partitionBy(*piece).orderBy("name", "is_s1").rowsBetween(W.unboundedPreceding, 0))
+    low = both.withColumn("start", start).withColumn("before", before).where("is_s1 = 0").join(offsets, piece).withColumn("low", F.col("offset") + F.col("before"))
     spread = low.select("country", "name", "id", "src", "low", F.explode(F.sequence(F.greatest(F.col("low") - reach, F.lit(0)), F.col("low") + reach)).alias("place"))
     return spread.join(placed, ["country", "place"]).select("s1_id", "src", "id", (F.col("place") - F.col("low")).alias("gap"), "s1_name", "name")
 
@@ -242,7 +255,7 @@ def bench_keys(rows: DataFrame, skip: tuple[str, ...] = (), vocabulary: DataFram
 
 def bench_pairs(s1: DataFrame, others: DataFrame, max_block: int = 40, skip: tuple[str, ...] = (), vocabulary: DataFrame | None = None) -> DataFrame:
     """(s1_id, id, mask) of pairs that share a key which at most ``max_block`` candidates have."""
-    right = bench_keys(others, skip, vocabulary).withColumn("n", F.count("*").over(W.partitionBy("key_type", "key"))).where(F.col("n") <= max_block)
+    right = cool(bench_keys(others, skip, vocabulary), ["key_type", "key"], max_block)
     left = bench_keys(s1, skip, vocabulary).withColumnRenamed("id", "s1_id")
     bit = F.lit(0)
     for k, name in enumerate(BENCH_KEYS):
@@ -250,14 +263,75 @@ def bench_pairs(s1: DataFrame, others: DataFrame, max_block: int = 40, skip: tup
     return left.join(right, ["key_type", "key"]).groupBy("s1_id", "id").agg(F.bit_or(bit).alias("mask"))
 
 
-def scale_pairs(s1: DataFrame, others: DataFrame, cfg: Blocking, bucket: int = 400, per_key: int = 8, per_entity: int = 32) -> DataFrame:
-    """(s1_id, id): the first ``per_key`` candidates of each key, the first ``per_entity`` of each entity; hot buckets are passed over."""
-    right = keys(others, cfg)
-    window = W.partitionBy("bit", "key")
-    right = right.withColumn("n", F.count("*").over(window)).withColumn("place", F.row_number().over(window.orderBy("id"))).where((F.col("n") <= bucket) & (F.col("place") <= per_key))
-    left = keys(s1, cfg).withColumnRenamed("id", "s1_id")
-    found = left.join(right, ["bit", "key"]).select("s1_id", "id").distinct()
-    return found.withColumn("place", F.row_number().over(W.partitionBy("s1_id").orderBy("id"))).where(F.col("place") <= per_entity).select("s1_id", "id")
+# --- scale: nine keys -------------------------------------------------------
+
+SCALE_KEYS = ("core_exact", "prefix8", "latin_token", "number_city", "soundex", "zip", "city_prefix", "prefix4", "other_token")
+
+
+@dataclass(frozen=True)
+class Scale:
+    per_key: int = 20
+    bucket: int = 2000
+    per_entity: int = 60
+    df_ratio: float = 0.01
+    token_lengths: tuple[int, int] = (3, 24)
+
+
+def scale_clean(records: DataFrame) -> DataFrame:
+    """(id, src, country, core, latin, other, zip, number, city) of rows (id, src, name, address, country), names in any script."""
+    _, core, latin, other = worldwide.name(F.col("name"))
+    parts = worldwide.address(F.col("address"))
+    return records.select("id", "src", text.safe_value(F.col("country")).alias("country"), core.alias("core"), latin.alias("latin"), other.alias("other"), parts["zip"].alias("zip"), parts["number"].alias("number"), parts["city"].alias("city"))
+
+
+def scale_keys(rows: DataFrame, cfg: Scale, vocabulary: DataFrame | None = None) -> DataFrame:
+    """(key_type, key, id) of the nine keys; a NULL part gives no key. ``vocabulary``: (key_type, key) of tokens that may be keys."""
+
+    def of(*parts) -> Column:
+        joined = F.col("country")
+        for x in parts:
+            joined = F.concat(joined, F.lit("|"), x)
+        return joined
+
+    four = F.substring("core", 1, 4)
+    made = {
+        "core_exact": of(F.col("core")),
+        "prefix8": of(F.substring("core", 1, 8)),
+        "number_city": of(F.col("number"), F.col("city")),
+        "soundex": of(kernels.soundex_of(F.col("core"))),
+        "zip": of(F.col("zip")),
+        "city_prefix": of(F.col("city"), four),
+        "prefix4": of(four),
+    }
+    out = rows.select("id", F.explode(F.array(*(F.struct(F.lit(n).alias("key_type"), k.alias("key")) for n, k in made.items()))).alias("x")).select("x.key_type", "x.key", "id")
+    least, most = cfg.token_lengths
+
+    def named(name: str, words: str) -> Column:
+        kept = F.array_distinct(F.filter(words, lambda t: F.length(t).between(least, most)))
+        return F.transform(kept, lambda t: F.struct(F.lit(name).alias("key_type"), t.alias("key")))
+
+    both = F.concat(named("latin_token", "latin"), named("other_token", "other"))
+    words = rows.select("id", F.explode(both).alias("x")).select("x.key_type", "x.key", "id")
+    if vocabulary is not None:
+        words = words.join(vocabulary, ["key_type", "key"], "left_semi")
+    return out.where("key IS NOT NULL").unionByName(words)
+
+
+def scale_pairs(s1: DataFrame, others: DataFrame, cfg: Scale = Scale()) -> DataFrame:
+    """(s1_id, id): the first ``per_key`` candidates of each key, the first ``per_entity`` of each entity; hot buckets are passed over.
+
+    Tokens are keys if few enough reference rows have them. Hot keys go before
+    anything is ordered, so no window sees more than ``bucket`` rows of a key.
+    """
+    by = ["key_type", "key"]
+    cutoff = max(2, int(cfg.df_ratio * s1.count()))
+    mine = scale_keys(s1, cfg)
+    common = mine.where(F.col("key_type").isin("latin_token", "other_token")).groupBy(*by).agg(F.count("*").alias("df")).where(F.col("df") > cutoff)
+    left = mine.join(common, by, "left_anti").withColumnRenamed("id", "s1_id")
+    right = cool(scale_keys(others, cfg).join(left.select(*by).distinct(), by, "left_semi"), by, cfg.bucket)
+    right = right.withColumn("place", F.row_number().over(W.partitionBy(*by).orderBy("id"))).where(F.col("place") <= cfg.per_key)
+    found = left.join(right, by).select("s1_id", "id").distinct()
+    return found.withColumn("place", F.row_number().over(W.partitionBy("s1_id").orderBy("id"))).where(F.col("place") <= cfg.per_entity).select("s1_id", "id")
 
 
 # --- quality of blocking ----------------------------------------------------
@@ -269,5 +343,13 @@ def recall(truth: DataFrame, found: DataFrame) -> DataFrame:
     return hit.groupBy("src").agg(F.count("*").alias("n_true"), F.count("hit").alias("n_found"), F.round(F.count("hit") / F.count("*"), 6).alias("recall"))
 
 
+def recall_by_key(truth: DataFrame, found: DataFrame, names: dict[int, str]) -> DataFrame:
+    """(key, pairs, n_found, recall): candidate pairs that each key gives, and the truth pairs among them; ``found``: (s1_id, id, mask)."""
+    each = F.explode(F.array_compact(F.array(*(F.when(F.col("mask").bitwiseAND(b) != 0, F.lit(n)) for b, n in names.items()))))
+    hit = found.join(truth.select("s1_id", "id", F.lit(1).alias("hit")), ["s1_id", "id"], "left").select(each.alias("key"), "hit")
+    total = truth.count()
+    return hit.groupBy("key").agg(F.count("*").alias("pairs"), F.count("hit").alias("n_found"), F.round(F.count("hit") / F.lit(max(1, total)), 6).alias("recall"))
+
+
 def missed(truth: DataFrame, found: DataFrame) -> DataFrame:
     return truth.join(found, ["s1_id", "id"], "left_anti")

@@ -134,3 +134,27 @@ def run_report(table: DataFrame) -> DataFrame:
         F.round(F.avg("candidate_count"), 6).alias("mean_candidates"),
         F.max("candidate_count").alias("most_candidates"),
     )
+
+
+def pair_summary(s1: DataFrame, scored: DataFrame, threshold: float, score: str = "score") -> DataFrame:
+    """By source: pairs scored and accepted, entities matched, mean and least accepted score, and the share of entities without a match."""
+    hit = F.col(score) >= threshold
+    total = s1.count()
+    out = scored.groupBy("src").agg(
+        F.count("*").alias("scored_pairs"),
+        F.count_if(hit).alias("accepted_pairs"),
+        F.count_distinct(F.when(hit, F.col("s1_id"))).alias("entities_matched"),
+        F.round(F.avg(F.when(hit, F.col(score))), 4).alias("mean_score"),
+        F.round(F.min(F.when(hit, F.col(score))), 4).alias("least_score"),
+    )
+    return out.withColumn("without_match_pct", F.round(100.0 * (F.lit(total) - F.col("entities_matched")) / F.lit(max(1, total)), 2))
+
+
+def in_order(table: DataFrame) -> DataFrame:
+    """Records as they are written: by source, then id, NULL first."""
+    return table.orderBy(F.col("src").asc_nulls_first(), F.col("id").asc_nulls_first())
+
+
+def saturated(pairs: DataFrame, most: int) -> DataFrame:
+    """One row: entities and pairs of a rollup, and whether the pairs are more than ``most``."""
+    return pairs.agg(F.count_distinct("s1_id").alias("entities"), F.count("*").alias("pairs")).withColumn("saturated", F.col("pairs") > most)

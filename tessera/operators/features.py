@@ -175,21 +175,38 @@ LIGHT_GROUPS = {
 }
 
 
-def tfidf_cosine(found: DataFrame, names: DataFrame) -> DataFrame:
-    """(s1_id, id, cosine) of word one- and two-grams: sublinear counts, smoothed rarity, unit length; names (id, name_norm)."""
-    words = F.split("name_norm", " ")
+def word_grams(name: Column) -> Column:
+    """Words, and pairs of words."""
+    words = F.split(name, " ")
     twos = F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1)))
-    grams = F.concat(words, F.when(F.size(words) > 1, twos).otherwise(F.array().cast("array<string>")))
+    return F.concat(words, F.when(F.size(words) > 1, twos).otherwise(F.array().cast("array<string>")))
+
+
+def char_grams(name: Column, sizes: tuple[int, ...] = (3, 4)) -> Column:
+    """Runs of three and four characters inside words, each word with a space on both sides."""
+    padded = F.transform(F.split(name, " "), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
+
+    def runs(n: int) -> Column:
+        long = F.filter(padded, lambda w: F.length(w) >= n)
+        return F.flatten(F.transform(long, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) - n + 1), lambda i: F.substring(w, i, F.lit(n)))))
+
+    return F.concat(*map(runs, sizes))
+
+
+def tfidf_cosine(found: DataFrame, names: DataFrame, grams=word_grams) -> DataFrame:
+    """(s1_id, id, cosine) of the grams of names (id, name_norm): sublinear counts, smoothed rarity, unit length."""
     known = names.where("name_norm IS NOT NULL")
-    counts = known.select("id", F.explode(grams).alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
+    counts = known.select("id", F.explode(grams(F.col("name_norm"))).alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
     total = known.count()
     df = counts.groupBy("term").agg(F.count("*").alias("df"))
     weighed = counts.join(df, "term").withColumn("w", (1 + F.log("tf")) * (F.log(F.lit(1 + total) / (1 + F.col("df"))) + 1))
-    norms = weighed.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    unit = weighed.join(norms, "id").select("id", "term", (F.col("w") / F.col("norm")).alias("u"))
-    left = found.select("s1_id", "id").join(unit.withColumnsRenamed({"id": "s1_id", "u": "x"}), "s1_id")
-    dots = left.join(unit.withColumnRenamed("u", "y"), ["id", "term"]).groupBy("s1_id", "id").agg(F.sum(F.col("x") * F.col("y")).alias("cosine"))
-    return found.select("s1_id", "id").join(dots, ["s1_id", "id"], "left").select("s1_id", "id", F.coalesce("cosine", F.lit(0.0)).alias("cosine"))
+    # A pair's vectors meet as maps: no term is ever joined with all its names.
+    unit = weighed.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("v"))
+    a, b = (unit.select(F.col("id").alias(i), F.col("norm").alias(f"{x}_norm"), F.col("v").alias(f"{x}_v")) for i, x in (("s1_id", "a"), ("id", "b")))
+    rows = found.select("s1_id", "id").join(a, "s1_id", "left").join(b, "id", "left")
+    shared = F.array_intersect(F.map_keys("a_v"), F.map_keys("b_v"))
+    dot = F.aggregate(shared, F.lit(0.0), lambda s, t: s + F.col("a_v")[t] * F.col("b_v")[t])
+    return rows.select("s1_id", "id", F.coalesce(dot / (F.col("a_norm") * F.col("b_norm")), F.lit(0.0)).alias("cosine"))
 
 
 BENCH_FIELDS = ("name_norm", "name_core", "tokens", "address_norm", "house_number", "street_name", "street_suffix", "street_dir", "city_norm", "state_norm", "zip5", "zip3", "po_box", "unit", "lat", "lon", "phone10", "phone7", "category_norm")

@@ -68,10 +68,43 @@ def best_threshold(swept: DataFrame) -> DataFrame:
     return swept.agg(F.max_by("threshold", F.struct("f05", "threshold")).alias("threshold"), F.max("f05").alias("f05"))
 
 
+def dense_sweep(rows: DataFrame, points: int = 200) -> DataFrame:
+    """The measures at ``points`` thresholds from the least to the greatest score, and at 0.5; rows (label, score).
+
+    Scores fall between grid points in one pass; what is summed up afterwards is one row a grid point.
+    """
+    known = rows.where("label IS NOT NULL AND score IS NOT NULL")
+    ends = known.agg(F.greatest(F.lit(0.0), F.min("score")).alias("lo"), F.least(F.lit(1.0), F.max("score")).alias("hi")).head()
+    lo, hi = (0.0, 1.0) if ends.lo is None else ends
+    grid = sorted({lo + k * ((hi - lo) / (points - 1)) for k in range(points - 1)} | {hi, 0.5})
+    place = F.size(F.filter(F.array(*map(F.lit, grid)), lambda g: g <= F.col("score")))
+    cells = known.groupBy(place.alias("cell")).agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
+    table = rows.sparkSession.createDataFrame([(0, None), *((k + 1, t) for k, t in enumerate(grid))], "cell int, threshold double")
+    full = table.join(F.broadcast(cells), "cell", "left").select("cell", "threshold", F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("neg", F.lit(0)).alias("neg"))
+    up = W.orderBy(F.col("cell").desc()).rowsBetween(W.unboundedPreceding, 0)
+    every = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    full = full.select("threshold", F.sum("pos").over(up).alias("tp"), F.sum("neg").over(up).alias("fp"), F.sum("pos").over(every).alias("n_true")).where("threshold IS NOT NULL")
+    tp, n_pred, n_true = F.col("tp"), F.col("tp") + F.col("fp"), F.col("n_true")
+    p, r = F.when(n_pred > 0, tp / n_pred).otherwise(0.0), F.when(n_true > 0, tp / n_true).otherwise(0.0)
+    return full.select(F.round("threshold", 6).alias("threshold"), "tp", "fp", (n_true - tp).alias("fn"), F.round(p, 6).alias("precision"), F.round(r, 6).alias("recall"), F.round(F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0), 6).alias("f1"), F.round(f_half(tp, n_pred, n_true), 6).alias("f05"), n_pred.alias("n_predicted"))
+
+
 def recommended(swept: DataFrame, precision: float = 0.99, least: int = 5) -> DataFrame:
-    """(rule, threshold): best F, and best recall among thresholds that reach the precision on enough predictions."""
-    ok = (F.col("precision") >= precision) & (F.col("tp") + F.col("fp") >= least)
-    return swept.agg(F.max_by("threshold", F.struct("f05", "threshold")).alias("max_f05"), F.max_by("threshold", F.when(ok, F.struct("recall", -F.col("threshold")))).alias("at_precision"))
+    """One row of thresholds from a dense sweep: of the best F at beta 0.5, of the best F1, and of the best F1 among those that reach the precision on enough predictions; the lowest of equals."""
+    ok = (F.col("precision") >= precision) & (F.col("n_predicted") >= least)
+
+    def top(measure: str, among: Column | None = None) -> Column:
+        order = F.struct(measure, -F.col("threshold"))
+        return F.max_by("threshold", order if among is None else F.when(among, order))
+
+    return swept.agg(top("f05").alias("max_f05"), top("f1").alias("max_f1"), top("f1", ok).alias("at_precision"))
+
+
+def run_score(entities: DataFrame, predicted: DataFrame, offered: DataFrame, truth: DataFrame) -> DataFrame:
+    """One row: the macro measures, and the recall that the offered candidates allow at most."""
+    true = truth.select("s1_id", "id").distinct()
+    reach = true.join(offered.select("s1_id", "id").distinct().withColumn("hit", F.lit(1)), ["s1_id", "id"], "left").agg(F.round(F.count("hit") / F.count("*"), 6).alias("recall_ceiling"))
+    return macro(entities, predicted, truth).join(F.broadcast(reach))
 
 
 def wilson(successes: Column, trials: Column, z: float = 1.96) -> tuple[Column, Column]:

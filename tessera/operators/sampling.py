@@ -56,6 +56,23 @@ def hard_negatives(negatives: DataFrame, truth: DataFrame, budget: int, score: s
     return first_of(out, F.lit(per_entity), order, ["s1_id"]).select("s1_id", "id", "band")
 
 
+def training_sample(rows: DataFrame, truth: DataFrame, most: int, score: str = "score", seed: int = 42) -> DataFrame:
+    """(s1_id, id, label): all positives of ``rows`` and at most ``most`` less their number of negatives, chosen by :func:`hard_negatives`."""
+    positives = rows.join(truth.select("s1_id", "id").distinct(), ["s1_id", "id"], "left_semi").select("s1_id", "id").distinct().withColumn("label", F.lit(1))
+    negatives = hard_negatives(rows, truth, max(0, most - positives.count()), score, seed=seed).select("s1_id", "id").withColumn("label", F.lit(0))
+    return positives.unionByName(negatives)
+
+
+def thinned(rows: DataFrame, key: Column, step: int) -> DataFrame:
+    """Every ``step``-th row or so, by hash: the same rows at any partitioning."""
+    return rows.where(F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long") % step == 0)
+
+
+def label_distribution(rows: DataFrame) -> DataFrame:
+    """(stratum, n) of rows with silver labels."""
+    return rows.groupBy("stratum").agg(F.count("*").alias("n"))
+
+
 def rule_score(f: str = "") -> Column:
     """The hand-made score of a pair in [0, 1] from independent signals."""
 

@@ -26,9 +26,9 @@ SELECT p_partkey AS k, p_partkey % 3 AS src,
 FROM part
 """
 
-#: Records whose texts have accents and several lines: first lines of documents.
+#: Records whose texts have accents and several lines: the whole texts of documents.
 LINES = """
-SELECT doc_id, substring(text, 1, CASE WHEN strpos(text, chr(10)) > 0 THEN strpos(text, chr(10)) - 1 ELSE length(text) END) AS line, lang, source FROM documents
+SELECT doc_id, text AS line, lang, source FROM documents
 """
 
 
@@ -41,4 +41,4 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(LINES.replace("FROM documents", "FROM {documents}").replace("strpos(text, chr(10))", "instr(text, chr(10))"), documents=table(spark, sf_dir, "documents"))
+    return spark.sql(LINES.replace("FROM documents", "FROM {documents}"), documents=table(spark, sf_dir, "documents"))
