@@ -9,6 +9,7 @@ from __future__ import annotations
 import functools
 import uuid
 from collections.abc import Callable
+from contextvars import ContextVar
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,8 +37,8 @@ DECISION = D.Decision()
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
-#: What the running query has staged.
-_STAGED: dict[tuple[str, str], DataFrame] = {}
+#: What the running query has staged; queries that run at the same time have one each.
+_STAGED: ContextVar[dict[tuple[str, str], DataFrame]] = ContextVar("staged")
 
 
 def query(sql: str | None = None, *tables: str, **changed: str):
@@ -45,8 +46,11 @@ def query(sql: str | None = None, *tables: str, **changed: str):
         @functools.wraps(fn)
         def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship(spark)
-            _STAGED.clear()
-            return fn(spark, sf_dir)
+            mark = _STAGED.set({})
+            try:
+                return fn(spark, sf_dir)
+            finally:
+                _STAGED.reset(mark)
 
         _QUERIES[fn.__name__] = shipped
         if sql is not None:
@@ -77,9 +81,10 @@ def staged(fn):
     @functools.wraps(fn)
     def once(spark, sf):
         key = (fn.__name__, sf)
-        if key not in _STAGED:
-            _STAGED[key] = stage(fn(spark, sf))
-        return _STAGED[key]
+        known = _STAGED.get({})
+        if key not in known:
+            known[key] = stage(fn(spark, sf))
+        return known[key]
 
     return once
 
@@ -881,7 +886,7 @@ def gbdt_scores(spark, sf):
 def synthetic_sources(spark, sf):
     from tessera.sources import synth
 
-    rows, _ = synth.generate(spark, 1200)
+    rows, _ = synth.generate(spark, table(spark, sf, "part").count())
     return rows
 
 
@@ -890,7 +895,7 @@ def synthetic_linkage(spark, sf):
     """Quality on generated records of known truth, all rules and the fallback on."""
     from tessera.sources import synth
 
-    rows, true = synth.generate(spark, 1200)
+    rows, true = synth.generate(spark, table(spark, sf, "part").count())
     clean = stage(B.clean(stage(rows)))
     s1, others = clean.where("src = 0"), clean.where("src > 0")
     cfg = B.Blocking(df_ratio=0.05, max_bucket=200)
