@@ -79,17 +79,17 @@ def copies(rows: DataFrame, source: str, found: DataFrame, in_range: Column) ->
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every row."""
-    sized = common.cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), hash_range(F.col(id_col)).alias("range")), "sizes")
+    sized = common.cut(docs.select(common.col(id_col).alias("doc_id"), common.col(source_col).alias("source"), words(common.col(text_col)).alias("size"), hash_range(common.col(id_col)).alias("range")), "sizes")
     out = copies(sized, "source", rates(sized), F.col("range"))
     return out.select("doc_id", "size", F.col(common.private("source_size")).alias("source_size"), F.col(common.private("target")).alias("target"), (F.col("size") * F.col(common.private("copies"))).alias("taken"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of the mix, each as often as it is taken, with the columns of ``docs``."""
-    sized = docs.select(F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), hash_range(F.col(id_col)).alias("range"))
-    out = copies(docs, source_col, rates(sized), hash_range(F.col(id_col)))
+    sized = docs.select(common.col(source_col).alias("source"), words(common.col(text_col)).alias("size"), hash_range(common.col(id_col)).alias("range"))
+    out = copies(docs, source_col, rates(sized), hash_range(common.col(id_col)))
     again = F.explode(F.array_repeat(F.lit(0), F.col(common.private("copies")).cast("int")))
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns), again.alias(common.private("again"))).drop(common.private("again"))
+    return out.select(*(common.col(c) for c in docs.columns), again.alias(common.private("again"))).drop(common.private("again"))
 
 
 def oracle() -> str:

@@ -263,7 +263,7 @@ def missing_links(signed: DataFrame, classes: DataFrame, rows: DataFrame, shingl
 
 def surplus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """(node, keep, component) of texts in groups of near-duplicates; ``keep``: the one node of each group that stays, with the smallest id."""
-    rows = docs.select(node(F.col(text_col)).alias("node"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    rows = docs.select(node(common.col(text_col)).alias("node"), F.coalesce(common.col(text_col), F.lit("")).cast("binary").alias("text"))
     signed = common.cut(signatures(rows, shingle).dropDuplicates(["node"]), "signatures")
     links = common.cut(likely_links(signed), "likely-links")
     ends = common.cut(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
@@ -273,7 +273,7 @@ def surplus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     missing = common.cut(missing_links(signed, classes, rows, shingle, threshold), "missing-links")
     if not missing.isEmpty():
         classes = common.cut(common.connected_components(edges.union(missing)), "components")
-    ids = docs.select(F.col(id_col).alias("id"), node(F.col(text_col)).alias("node"))
+    ids = docs.select(common.col(id_col).alias("id"), node(common.col(text_col)).alias("node"))
     members = ids.join(common.sized(classes, classes.count()), "node").groupBy("component", "node").agg(F.min("id").alias("id"))
     members = common.cut(members, "members")
     stay = members.groupBy("component").agg(F.min_by("node", F.struct(F.col("id").isNull(), "id", "node")).alias("keep"))
@@ -284,12 +284,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """The rows of ``docs`` but for near-duplicates and copies: one row of each group stays, with the columns it came with."""
     found = surplus(docs, id_col, text_col, shingle, threshold)
     drop = found.where("NOT keep").select(F.col("node").alias(NODE))
-    marked = docs.withColumn(NODE, node(F.col(text_col)))
+    marked = docs.withColumn(NODE, node(common.col(text_col)))
     copies = common.cut(marked.groupBy(NODE).agg(F.count("*").alias("n")).where("n > 1").select(NODE), "copies")
     kept = marked.join(common.sized(drop, drop.count()), NODE, "left_anti")
     some = copies.count()
     if some:
         repeated = common.sized(copies, some)
-        first = kept.join(repeated, NODE, "left_semi").groupBy(NODE).agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.struct(F.col(id_col).isNull(), F.col(id_col))).alias("row"))
-        kept = kept.join(repeated, NODE, "left_anti").select(*docs.columns).unionByName(first.select("row.*"))
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+        first = kept.join(repeated, NODE, "left_semi").groupBy(NODE).agg(F.min_by(F.struct(*(common.col(c) for c in docs.columns)), F.struct(common.col(id_col).isNull(), common.col(id_col))).alias("row"))
+        kept = kept.join(repeated, NODE, "left_anti").select(*map(common.col, docs.columns)).unionByName(first.select("row.*"))
+    return kept.select(*(common.col(c) for c in docs.columns))
