@@ -882,6 +882,23 @@ def gbdt_scores(spark, sf):
     return model.score(model.fit(rows, X.ENTITY_FEATURES, rounds=10), rows, X.ENTITY_FEATURES)
 
 
+@query()
+def feature_importances(spark, sf):
+    from tessera.operators import model
+
+    rows = X.entity_features(kept(spark, sf), *sides(spark, sf)).join(labelled(spark, sf).select("s1_id", "id", "label"), ["s1_id", "id"])
+    top = model.importances(model.fit(stage(rows), X.ENTITY_FEATURES, rounds=5), X.ENTITY_FEATURES)[:20]
+    return spark.createDataFrame(top, "feature string, importance double")
+
+
+@query()
+def benchmark_summary(spark, sf):
+    """The benchmark end to end on generated records, as many as the table has rows."""
+    from tessera.plans import benchmark
+
+    return benchmark.run(spark, table(spark, sf, "part").count(), cfg=benchmark.Benchmark(rounds=10))["summary"]
+
+
 @query()
 def synthetic_sources(spark, sf):
     from tessera.sources import synth

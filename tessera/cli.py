@@ -8,7 +8,7 @@ import json
 from pyspark.sql import SparkSession
 
 from tessera.operators import blocking as B
-from tessera.plans import pipeline
+from tessera.plans import benchmark, pipeline
 from tessera.sources import readers
 
 
@@ -22,7 +22,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--model-path")
     p.add_argument("--n-entities", type=int, default=1200)
     p.add_argument("--seed", type=int, default=42)
-    p.add_argument("--margin", type=float, default=0.05)
+    p.add_argument("--margin", type=float)
+    p.add_argument("--labels")
+    p.add_argument("--oracle-run", action="store_true")
+    p.add_argument("--target-precision", type=float)
+    p.add_argument("--max-block-size", type=int, default=40)
+    p.add_argument("--log-level", default="WARN")
     p.add_argument("--max-source1", type=int)
     p.add_argument("--max-source2", type=int)
     p.add_argument("--max-source3", type=int)
@@ -32,8 +37,11 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> dict:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
+    spark.sparkContext.setLogLevel(args.log_level)
     if args.mode == "benchmark":
-        out = pipeline.benchmark(spark, args.n_entities, args.seed)
+        labels = spark.read.option("header", True).csv(args.labels).selectExpr("s1_id", "id", "CAST(label AS INT) AS label") if args.labels else None
+        cfg = benchmark.Benchmark(args.max_block_size, target_precision=args.target_precision, margin=args.margin, oracle=args.oracle_run)
+        out = benchmark.run(spark, args.n_entities, args.seed, cfg, labels, args.out_dir)
     else:
         if args.er_mode == "predict" and not args.model_path:
             raise ValueError("predict needs --model-path")
@@ -45,7 +53,7 @@ def main(argv: list[str] | None = None) -> dict:
         for src, most in enumerate((args.max_source1, args.max_source2, args.max_source3)):
             if most is not None:
                 rows = rows.where(f"src <> {src}").unionByName(rows.where(f"src = {src}").limit(most))
-        run = pipeline.Run(cfg, margin=args.margin, high=config.get("decision", {}).get("high_threshold", 0.85))
+        run = pipeline.Run(cfg, margin=0.05 if args.margin is None else args.margin, high=config.get("decision", {}).get("high_threshold", 0.85))
         out = pipeline.link(spark, rows, truth, args.model_path, args.out_dir, run)
     print(json.dumps(out["report"], default=str))
     return out["report"]

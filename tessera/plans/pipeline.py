@@ -1,4 +1,4 @@
-"""The two batch pipelines: entity linkage (validate or predict) and the synthetic benchmark."""
+"""The entity linkage pipeline: validate or predict."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from tessera.operators import features as X
 from tessera.operators import metrics as M
 from tessera.operators import model as G
 from tessera.operators import sampling as S
-from tessera.sources import readers, sinks, synth
+from tessera.sources import readers, sinks
 from tessera.sources.ship import ship
 from tessera.sources.staging import stage
 
@@ -86,13 +86,6 @@ def link(spark: SparkSession, records: DataFrame, truth: DataFrame | None = None
     return {"records": table, "rollup": rollup, "candidates": offered, "report": report, "model": fitted}
 
 
-def benchmark(spark: SparkSession, n: int = 1200, seed: int = 42, run: Run = Run(B.Blocking(df_ratio=0.05, max_bucket=200))) -> dict:
-    """The linkage of generated sources against their own truth."""
-    ship(spark)
-    records, truth = synth.generate(spark, n, seed)
-    return link(spark, stage(records), stage(truth), run=run)
-
-
 def from_config(spark: SparkSession, config: dict, mode: str, root: str) -> tuple[DataFrame, DataFrame | None]:
     """Records of the three sources that a configuration names, and truth pairs when validating."""
     sep, paths = config.get("sep", "\t"), config["paths"][mode]

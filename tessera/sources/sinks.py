@@ -34,3 +34,10 @@ def write_report(spark: SparkSession, report: Row, path: str) -> None:
     """A one-row report as JSON; NaN becomes null."""
     clean = {k: None if isinstance(v, float) and v != v else v for k, v in report.asDict(recursive=True).items()}
     spark.createDataFrame([(json.dumps(clean, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_benchmark(table: DataFrame, scores: DataFrame, review: DataFrame, out: str) -> None:
+    """The benchmark's three files: entities with their matches, scored pairs in order, and accepted pairs to look at."""
+    table.write.mode("overwrite").option("header", True).csv(f"{out}/entity_matches")
+    scores.orderBy("s1_id", "src", F.col("score").desc(), "id").write.mode("overwrite").option("header", True).csv(f"{out}/entity_pair_scores")
+    review.write.mode("overwrite").option("header", True).csv(f"{out}/accepted_pairs_to_review")

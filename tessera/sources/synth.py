@@ -65,13 +65,29 @@ def source(base: DataFrame, src: int, seed: int, weights: tuple[int, ...], noise
         F.when(chance(seed, f"gone{src}", noise / 2), blank).otherwise(address).alias("address"),
         F.lit("US").alias("country"),
         "phone",
+        "zip",
+        "state",
+        F.col("kind").alias("category"),
+        # About a kilometre around the entity's place.
+        (F.lit(30.0) + draw(seed, "lat", 1000) / 50 + draw(seed, f"lat{src}", 100) / 10_000).alias("lat"),
+        (F.lit(-100.0) + draw(seed, "lon", 1000) / 50 + draw(seed, f"lon{src}", 100) / 10_000).alias("lon"),
     )
 
 
-def generate(spark: SparkSession, n: int = 1200, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Records of three sources, and truth pairs (s1_id, id, src)."""
+def trapped(base: DataFrame, src: int, seed: int, moved: float = 0.10, mates: float = 0.12) -> DataFrame:
+    """Listings that match no entity but look like one: its name at another place, another name at its place."""
+    clone = base.where(chance(seed, f"clone{src}", moved)).withColumns({"house": (draw(seed, "clone-house", 9800) + 100).cast("string"), "street": pick(STREETS, draw(seed, "clone-street", 10)), "zip": F.concat(F.lit("9"), F.lpad(draw(seed, "clone-zip", 9999).cast("string"), 4, "0"))})
+    mate = base.where(chance(seed, f"mate{src}", mates)).withColumn("name", F.concat_ws(" ", F.initcap(pick(BRANDS, draw(seed, "mate-brand", len(BRANDS)))), F.lit("Annex"), pick(list(KINDS), draw(seed, "mate-kind", len(KINDS)))))
+    parts = [source(rows.withColumn("phone", F.concat(F.lit("312555"), F.lpad(draw(seed, tag, 10_000).cast("string"), 4, "0"))), src, seed, (0, 1), 0.0).withColumn("id", F.concat("id", F.lit(f"-{tag}"))) for tag, rows in (("clone", clone), ("mate", mate))]
+    return parts[0].unionByName(parts[1])
+
+
+def generate(spark: SparkSession, n: int = 1200, seed: int = 42, traps: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Records of three sources, and truth pairs (s1_id, id, src); with ``traps`` also listings that match nothing."""
     base = entities(spark, n, seed)
     parts = [source(base, 0, seed, (0, 1), 0.0), source(base, 1, seed, (18, 52, 24, 6), 0.15), source(base, 2, seed, (22, 50, 22, 6), 0.25)]
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
     truth = parts[0].select("entity", F.col("id").alias("s1_id")).join(parts[1].unionByName(parts[2]).select("entity", "id", "src"), "entity").select("s1_id", "id", "src")
+    if traps:
+        rows = rows.unionByName(trapped(base, 1, seed)).unionByName(trapped(base, 2, seed))
     return rows.drop("entity"), truth

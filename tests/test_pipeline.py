@@ -1,7 +1,7 @@
 """The linkage pipeline end to end on generated records."""
 
 from tessera.operators import blocking as B
-from tessera.plans import pipeline
+from tessera.plans import benchmark, pipeline
 from tessera.sources import synth
 from tessera.sources.staging import stage
 
@@ -18,6 +18,15 @@ def test_validate_then_predict(spark, tmp_path):
     assert again["records"].count() == out["records"].count()
 
 
+def test_benchmark(spark, tmp_path):
+    out = benchmark.run(spark, 150, 7, benchmark.Benchmark(rounds=5, oracle=True), out=f"{tmp_path}/out")
+    assert out["report"]["features"] == 59
+    assert out["report"]["f05_macro"] > 0.6 and out["report"]["recall_ceiling"] > 0.7
+    assert out["table"].count() == 150 and spark.read.option("header", True).csv(f"{tmp_path}/out/entity_pair_scores").count() == out["report"]["candidates"]
+    silver = benchmark.run(spark, 150, 7, benchmark.Benchmark(rounds=5, margin=0.2, target_precision=0.9))
+    assert silver["accepted"].count() > 0 and {r.src for r in silver["summary"].collect()} == {1, 2}
+
+
 def test_generator_is_reproducible(spark):
     a, b = (sorted(map(str, synth.generate(spark, 60, 3)[0].repartition(n).collect())) for n in (1, 5))
     assert a == b
