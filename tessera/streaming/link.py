@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tessera.operators import blocking as B
 from tessera.operators import decide as D
 from tessera.operators import features as X
+from tessera.sources.staging import stage
 
 
 def link_batch(s1: DataFrame, records: DataFrame, cfg: B.Blocking, decision: D.Decision) -> DataFrame:
     """The record table of raw records (id, src, name, address, country) against cleaned ``s1``."""
-    others = B.clean(records)
+    others = stage(B.clean(records))
     found = B.capped(B.pairs(s1, others, cfg), cfg.cap)
     scored = X.composite(X.light_features(found, s1, others), groups=X.LIGHT_GROUPS).withColumn("score", F.round("weighted_composite_score", 6))
     return D.record_table(B.record_status(others, found), D.decisions(scored, decision))
