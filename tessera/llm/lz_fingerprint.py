@@ -9,7 +9,8 @@ which estimates (and for small sets is) the sets' Jaccard similarity.
 
 Edge cases: null and empty texts have the empty fingerprint; two empty ones
 have likeness 1, an empty one and another 0. Rows that repeat a ``doc_id`` are
-ordered by text, null ids come last; a table of one row has itself next.
+ordered by text; null ids come last, ordered by the hash of the text and then the
+text, and are dealt out by that hash. A table of one row has itself next.
 """
 
 from __future__ import annotations
@@ -96,11 +97,15 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     last. Each range also gets the first row of the next one (``lead``).
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.withColumn("tie", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
     ranges = 2 * max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ids = rows.select("doc_id").where("doc_id IS NOT NULL")
-    cuts = sorted(set(ids.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.5 / ranges))) if not ids.isEmpty() else []
-    # Ranges count up as ids go down; null ids are the last range.
-    place = F.lit(len(cuts) + 1)
+    total, known = rows.agg(F.count("*"), F.count("doc_id")).head()
+    cuts = sorted(set(ids.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.5 / ranges))) if known else []
+    # Ranges count up as ids go down; null ids have the last ones, as many as their share of the rows, by hash.
+    unnamed = max(1, -(-ranges * (total - known) // max(1, total)))
+    at = F.floor((F.col("tie") / F.lit(2.0**64) + F.lit(0.5)) * F.lit(unnamed))
+    place = F.lit(len(cuts) + 1) + F.coalesce(F.least(F.lit(unnamed - 1), at), F.lit(0))
     if cuts:
         bounds = F.array(*(F.lit(float(c)) for c in cuts))
         place = F.when(F.col("doc_id").isNull(), place).otherwise(F.size(F.filter(bounds, lambda c: c > F.col("doc_id"))))
@@ -114,9 +119,9 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     tops = F.create_map(*(x for r in firsts for x in (F.lit(r.range), F.lit(r.first).cast("long"))))
     heads = rows.where(F.col("doc_id").eqNullSafe(tops[F.col("range")]))
     # Of rows that share the first id the one with the smallest text leads.
-    heads = heads.groupBy("range", "doc_id").agg(F.min("text").alias("text")).withColumn("range", table[F.col("range")])
+    heads = heads.groupBy("range", "doc_id").agg(F.min(F.struct("tie", "text")).alias("least")).select(table[F.col("range")].alias("range"), "doc_id", "least.text", "least.tie")
     both = rows.withColumn("lead", F.lit(False)).unionByName(heads.withColumn("lead", F.lit(True)))
-    return both.repartition(F.col("range")).sortWithinPartitions("range", "lead", F.col("doc_id").desc_nulls_last(), "text").select("range", "doc_id", "text", "lead")
+    return both.repartition(F.col("range")).sortWithinPartitions("range", "lead", F.col("doc_id").desc_nulls_last(), "tie", "text").select("range", "doc_id", "text", "lead")
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -419,3 +419,18 @@ def test_near_duplicates(spark, limit, monkeypatch):
     rows += [(100, rows[0][1]), (101, None), (102, "")]
     kept = {r.doc_id for r in near_dup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == {0, 25, 26, 27, 28, 29, 101}
+
+
+def test_lz_null_ids_are_dealt_by_hash(spark):
+    texts = [prose(5 + k % 7) for k in range(200)]
+    rows = [(None, t) for t in texts] + [(None, texts[0]), (None, None), (3, "three"), (8, "eight words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    dealt = lz_fingerprint.with_next(docs, "doc_id", "text").where("doc_id IS NULL AND NOT lead")
+    assert dealt.select("range").distinct().count() > 8
+    signed = lambda t: np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64)
+    order = ["eight words", "three", *sorted((t or "" for d, t in rows if d is None), key=lambda t: (signed(t), t.encode()))]
+    want = []
+    for k, t in enumerate(order):
+        after = order[(k + 1) % len(order)]
+        want.append(hashlib.sha256((t[: len(t) - len(t) // 2] + after[: len(t) // 2]).encode()).hexdigest())
+    assert sorted(r.edited_sha256 for r in lz_fingerprint.edited_likeness(docs).collect()) == sorted(want)
