@@ -90,15 +90,19 @@ def shard(blob: Column) -> Column:
     return F.substring(blob, 1, 1)
 
 
-def read_ledger(spark: SparkSession, ledger: str, version: str = RULES_VERSION) -> DataFrame:
-    """(blob, findings, shard) of a rule version, one row a blob however often it was added; empty where the ledger has none."""
+def read_ledger(spark: SparkSession, ledger: str, version: str = RULES_VERSION, shards: list[str] | None = None) -> DataFrame:
+    """(blob, findings, shard) of a rule version, one row a blob however often it was added; empty where the ledger has none.
+
+    Given ``shards``, only their folders are read.
+    """
     folder = f"{ledger}/rules={version}"
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
     schema = f"blob string, findings {FINDING}, shard string"
     if not there:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(folder).dropDuplicates(["blob"])
+    rows = spark.read.schema(schema).parquet(folder)
+    return (rows if shards is None else rows.where(F.col("shard").isin(shards))).dropDuplicates(["blob"])
 
 
 def scan(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str = "text", version: str = RULES_VERSION) -> DataFrame:
@@ -114,7 +118,7 @@ def scan(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str = "
     paths = common.cut(rows.select("doc_id", SHA), "addresses")
     # At most 16 shards; only those that these rows' addresses lie in are read.
     shards = [r[0] for r in paths.select(shard(F.col(SHA))).distinct().collect()]
-    known = read_ledger(spark, ledger, version).where(F.col("shard").isin(shards)).select(F.col("blob").alias(SHA))
+    known = read_ledger(spark, ledger, version, shards).select(F.col("blob").alias(SHA))
     known = common.cut(known, "known")
     # A known blob counts twice, so its rows are never taken for new ones.
     repeated = exact_dedup.Filter(paths.select(SHA).unionAll(known).unionAll(known), (SHA,), 2)
@@ -130,7 +134,7 @@ def scan(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str = "
     # Rows that repeat both id and text would be scanned more than once; the ledger keeps one.
     scanned = _scan(alone.select(SHA, "text")).unionByName(_scan(first.select(SHA, "text")).dropDuplicates(["blob"]))
     scanned.withColumn("shard", shard(F.col("blob"))).hint("rebalance", "shard").write.mode("append").partitionBy("shard").parquet(f"{ledger}/rules={version}")
-    done = read_ledger(spark, ledger, version).where(F.col("shard").isin(shards))
+    done = read_ledger(spark, ledger, version, shards)
     return paths.withColumnRenamed(SHA, "blob").join(done, "blob").select("doc_id", "blob", "findings")
 
 
