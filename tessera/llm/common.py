@@ -18,7 +18,7 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where none is set and all run on one machine."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
