@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary one only where none is set and all run on one machine."""
     context = spark.sparkContext
-    if not context.getConf().get("spark.checkpoint.dir", None) and not context.master.startswith("local"):
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    if not found and not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
-    found = context.getConf().get("spark.checkpoint.dir", None) or getattr(context, "_tessera_stage", None)
+    found = found or getattr(context, "_tessera_stage", None)
     if not found:
         found = context._tessera_stage = f"file://{tempfile.mkdtemp(prefix='tessera-')}"
     return found.rstrip("/")
