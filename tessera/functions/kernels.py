@@ -1,9 +1,10 @@
-"""String kernels that Spark lacks, as Arrow-batched UDFs; each batch computes distinct inputs once."""
+"""String kernels that Spark lacks, as Arrow-batched UDFs; each batch computes distinct inputs once, pairs of texts side by side in arrays."""
 
 from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,34 +12,62 @@ from pyspark.sql import types as T
 VOWELS = set("AEIOU")
 
 
-def jaro_winkler_of(a: str, b: str) -> float:
-    """Jaro similarity, raised for a common prefix of up to four where it is above 0.7."""
-    if a == b:
-        return 1.0
-    n, m = len(a), len(b)
-    reach = max(0, max(n, m) // 2 - 1)
-    free = [True] * m
-    left: list[str] = []
-    for i, c in enumerate(a):
-        for j in range(max(0, i - reach), min(m, i + reach + 1)):
-            if free[j] and b[j] == c:
-                free[j] = False
-                left.append(c)
-                break
-    k = len(left)
-    if not k:
-        return 0.0
-    right = [c for c, f in zip(b, free, strict=True) if not f]
-    half = sum(x != y for x, y in zip(left, right, strict=True)) // 2
-    jaro = (k / n + k / m + (k - half) / k) / 3
-    if jaro <= 0.7:
-        return jaro
-    prefix = 0
-    for x, y in zip(a[:4], b[:4], strict=False):
-        if x != y:
-            break
-        prefix += 1
-    return jaro + prefix * 0.1 * (1 - jaro)
+#: Pairs whose characters are held side by side, in cells.
+CELLS = 1 << 19
+
+
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of texts, a row each, filled up with zeros; and the lengths."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    width = max(1, int(sizes.max()))
+    return np.array(texts, f"U{width}").view(np.uint32).reshape(len(texts), width), sizes
+
+
+def _in_chunks(a: list[str], b: list[str], fn) -> np.ndarray:
+    """``fn`` of lists of pairs of like length, so that few cells are filling."""
+    widest = [max(len(x), len(y)) for x, y in zip(a, b, strict=True)]
+    order = np.argsort(widest, kind="stable")
+    out = np.zeros(len(order))
+    at = 0
+    while at < len(order):
+        # The chunk's last pair is its widest.
+        to = min(len(order), at + CELLS)
+        while to > at + 1 and (to - at) * widest[order[to - 1]] > CELLS:
+            to = at + (to - at + 1) // 2
+        chunk = order[at:to]
+        out[chunk] = fn([a[k] for k in chunk], [b[k] for k in chunk])
+        at = to
+    return out
+
+
+def _jaro_winkler(a: list[str], b: list[str]) -> np.ndarray:
+    x, n = _codes(a)
+    y, m = _codes(b)
+    at = np.arange(y.shape[1])
+    reach = np.maximum(0, np.maximum(n, m) // 2 - 1)[:, None]
+    free = at < m[:, None]
+    taken = np.zeros(x.shape, bool)
+    every = np.arange(len(x))
+    for i in range(x.shape[1]):
+        ok = free & (y == x[:, i, None]) & (np.abs(at - i) <= reach) & (i < n)[:, None]
+        first = ok.argmax(axis=1)
+        taken[:, i] = found = ok[every, first]
+        free[every[found], first[found]] = False
+    k = taken.sum(axis=1)
+    width = min(x.shape[1], y.shape[1])
+    left = np.take_along_axis(x, np.argsort(~taken, axis=1, kind="stable"), axis=1)[:, :width]
+    right = np.take_along_axis(y, np.argsort(free | (at >= m[:, None]), axis=1, kind="stable"), axis=1)[:, :width]
+    half = ((left != right) & (np.arange(width) < k[:, None])).sum(axis=1) // 2
+    jaro = np.where(k > 0, (k / n + k / m + (k - half) / np.maximum(k, 1)) / 3, 0.0)
+    four = min(4, width)
+    same = (x[:, :four] == y[:, :four]) & (np.arange(four) < np.minimum(n, m)[:, None])
+    prefix = np.logical_and.accumulate(same, axis=1).sum(axis=1)
+    return np.where(jaro > 0.7, jaro + prefix * 0.1 * (1 - jaro), jaro)
+
+
+def jaro_winklers(a: list[str], b: list[str]) -> np.ndarray:
+    """Jaro similarity of pairs of texts that are not empty, raised for a common prefix of up to four where it is above 0.7."""
+    return _in_chunks(a, b, _jaro_winkler)
 
 
 def common_subsequence(a: str, b: str) -> int:
@@ -54,30 +83,49 @@ def common_subsequence(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-def indel_ratio(a: str, b: str) -> float:
-    total = len(a) + len(b)
-    return 200 * common_subsequence(a, b) / total if total else 0.0
-
-
-def token_set_ratio_of(a: str, b: str) -> float:
-    x, y = set(a.split()), set(b.split())
-    if not x or not y:
-        return 0.0
-    both, only_a, only_b = x & y, " ".join(sorted(x - y)), " ".join(sorted(y - x))
-    if both and (not only_a or not only_b):
-        return 100.0
-    size = len(" ".join(sorted(both)))
-    gap = 1 if size else 0
-    la, lb = size + gap + len(only_a), size + gap + len(only_b)
-    apart = len(only_a) + len(only_b) - 2 * common_subsequence(only_a, only_b)
-    best = 100 * (1 - apart / (la + lb))
-    if size:
-        best = max(best, 100 * (1 - (gap + len(only_a)) / (size + la)), 100 * (1 - (gap + len(only_b)) / (size + lb)))
-    return best
-
-
-def token_sort_ratio_of(a: str, b: str) -> float:
-    return indel_ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
+def _common_subsequences(a: list[str], b: list[str]) -> np.ndarray:
+    a, b = zip(*(sorted(p, key=len) for p in zip(a, b, strict=True)), strict=True)
+    if max(map(len, a)) > 64:
+        return np.array([common_subsequence(*p) for p in zip(a, b, strict=True)])
+    x, n = _codes(a)
+    y, m = _codes(b)
+    # One machine word holds a pair's columns.
+    cells = np.zeros((len(x), 64), bool)
+    row = np.full(len(x), np.iinfo(np.uint64).max)
+    inside = np.arange(x.shape[1]) < n[:, None]
+    for j in range(y.shape[1]):
+        cells[:, : x.shape[1]] = (x == y[:, j, None]) & inside & (j < m)[:, None]
+        hit = row & np.packbits(cells, axis=1, bitorder="little").view(np.uint64)[:, 0]
+        row = (row + hit) | (row - hit)
+    return np.bitwise_count(~row)
+
+
+def common_subsequences(a: list[str], b: list[str]) -> np.ndarray:
+    """Lengths of the longest common subsequences of pairs of texts."""
+    return _in_chunks(a, b, _common_subsequences)
+
+
+def token_set_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """Of two token sets: what they share against each with what it has alone; the best of the three ratios, up to 100."""
+    sets = [(set(x.split()), set(y.split())) for x, y in zip(a, b, strict=True)]
+    shared = [" ".join(sorted(x & y)) for x, y in sets]
+    only_a, only_b = [" ".join(sorted(x - y)) for x, y in sets], [" ".join(sorted(y - x)) for x, y in sets]
+    size, p, q = (np.array([len(t) for t in texts]) for texts in (shared, only_a, only_b))
+    gap = (size > 0).astype(int)
+    la, lb = size + gap + p, size + gap + q
+    apart = p + q - 2 * common_subsequences(only_a, only_b)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        best = 100 * (1 - apart / (la + lb))
+        best = np.where(gap > 0, np.maximum(best, np.maximum(100 * (1 - (gap + p) / (size + la)), 100 * (1 - (gap + q) / (size + lb)))), best)
+    best = np.where((gap > 0) & ((p == 0) | (q == 0)), 100.0, best)
+    return np.where([bool(x and y) for x, y in sets], best, 0.0)
+
+
+def token_sort_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """Twice the longest common subsequence of the sorted tokens over both lengths, up to 100."""
+    a, b = ([" ".join(sorted(t.split())) for t in side] for side in (a, b))
+    total = np.array([len(x) + len(y) for x, y in zip(a, b, strict=True)])
+    return np.where(total > 0, 200 * common_subsequences(a, b) / np.maximum(total, 1), 0.0)
 
 
 def nysiis_of(text: str) -> str:
@@ -137,13 +185,11 @@ def folded_exactly(text: str) -> str:
 def _pairwise(fn):
     @F.pandas_udf(T.DoubleType())
     def kernel(a: pd.Series, b: pd.Series) -> pd.Series:
-        known: dict[tuple, float | None] = {}
-        out = []
-        for key in zip(a, b, strict=True):
-            if key not in known:
-                known[key] = fn(*key) if key[0] and key[1] else None
-            out.append(known[key])
-        return pd.Series(out, dtype="float64")
+        known: dict[tuple, float | None] = dict.fromkeys(zip(a, b, strict=True))
+        both = [key for key in known if key[0] and key[1]]
+        if both:
+            known.update(zip(both, fn(*map(list, zip(*both, strict=True))).tolist(), strict=True))
+        return pd.Series([known[key] for key in zip(a, b, strict=True)], dtype="float64")
 
     return kernel
 
@@ -157,9 +203,9 @@ def _single(fn):
     return kernel
 
 
-jaro_winkler = _pairwise(jaro_winkler_of)
-token_set_ratio = _pairwise(token_set_ratio_of)
-token_sort_ratio = _pairwise(token_sort_ratio_of)
+jaro_winkler = _pairwise(jaro_winklers)
+token_set_ratio = _pairwise(token_set_ratios)
+token_sort_ratio = _pairwise(token_sort_ratios)
 nysiis = _single(nysiis_of)
 fold_exactly = _single(folded_exactly)
 

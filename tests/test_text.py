@@ -1,5 +1,7 @@
 """Golden values of the text functions."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,10 +83,72 @@ def test_address_forms_agree(spark):
         assert p["house_number"] is None and p["address_norm"] is None
 
 
+def plain_jaro_winkler(a, b):
+    """Character by character: each of a takes the first free equal one of b within reach."""
+    n, m = len(a), len(b)
+    reach, free, left = max(0, max(n, m) // 2 - 1), [True] * m, []
+    for i, c in enumerate(a):
+        for j in range(max(0, i - reach), min(m, i + reach + 1)):
+            if free[j] and b[j] == c:
+                free[j] = False
+                left.append(c)
+                break
+    k = len(left)
+    if not k:
+        return 0.0
+    right = [c for c, f in zip(b, free, strict=True) if not f]
+    half = sum(x != y for x, y in zip(left, right, strict=True)) // 2
+    jaro = (k / n + k / m + (k - half) / k) / 3
+    prefix = next((i for i, (x, y) in enumerate(zip(a[:4], b[:4], strict=False)) if x != y), min(4, n, m))
+    return jaro if jaro <= 0.7 else jaro + prefix * 0.1 * (1 - jaro)
+
+
+def plain_subsequence(a, b):
+    """The table of the definition."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last, row = row, [0]
+        for j, y in enumerate(b):
+            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+    return row[-1]
+
+
+def plain_token_set(a, b):
+    x, y = set(a.split()), set(b.split())
+    if not x or not y:
+        return 0.0
+    shared, p, q = (" ".join(sorted(t)) for t in (x & y, x - y, y - x))
+    if shared and (not p or not q):
+        return 100.0
+    whole_p, whole_q = (f"{shared} {t}" if shared else t for t in (p, q))
+    gone = [(len(p) + len(q) - 2 * plain_subsequence(p, q)) / (len(whole_p) + len(whole_q))]
+    if shared:
+        gone += [(len(t) - len(shared)) / (len(t) + len(shared)) for t in (whole_p, whole_q)]
+    return 100 * (1 - min(gone))
+
+
 def test_kernels():
-    assert kernels.jaro_winkler_of("martha", "marhta") == pytest.approx(0.9611, abs=1e-4)
-    assert kernels.jaro_winkler_of("abc", "xyz") == 0
-    assert kernels.token_set_ratio_of("acme bicycle", "acme bicycle shop") == 100
-    assert kernels.token_sort_ratio_of("b a", "a b") == 100
+    assert kernels.jaro_winklers(["martha", "abc"], ["marhta", "xyz"]) == pytest.approx([0.9611, 0], abs=1e-4)
+    assert kernels.token_set_ratios(["acme bicycle"], ["acme bicycle shop"]) == [100]
+    assert kernels.token_sort_ratios(["b a"], ["a b"]) == [100]
     assert kernels.common_subsequence("abcbdab", "bdcaba") == 4
     assert kernels.nysiis_of("halberston mill") == kernels.nysiis_of("halberstun mill") != ""
+
+
+def test_kernels_against_definitions(monkeypatch):
+    monkeypatch.setattr(kernels, "CELLS", 500)
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abé 北\U0001f600") for _ in range(rng.choice((1, 2, 3, 8, 20, 63, 64, 65, 130)))) for _ in range(600)] + ["x", " ", "a" * 64, "ab" * 32]
+    a, b = texts, [rng.choice((t, rng.choice(texts), t[1:] + "a", t[::-1])) for t in texts]
+    pairs = list(zip(a, b, strict=True))
+    assert kernels.jaro_winklers(a, b).tolist() == [plain_jaro_winkler(*p) for p in pairs]
+    assert kernels.common_subsequences(a, b).tolist() == [plain_subsequence(*p) for p in pairs]
+    assert kernels.token_set_ratios(a, b) == pytest.approx([plain_token_set(*p) for p in pairs])
+    tidy = [tuple(" ".join(sorted(t.split())) for t in p) for p in pairs]
+    assert kernels.token_sort_ratios(a, b) == pytest.approx([200 * plain_subsequence(x, y) / (len(x) + len(y)) if x or y else 0 for x, y in tidy])
+
+
+def test_pairwise_kernels_pass_nulls(spark):
+    rows = spark.createDataFrame([("a b", None), (None, None), ("", "a"), ("a b", "b a")], "a string, b string")
+    got = rows.select(kernels.jaro_winkler("a", "b"), kernels.token_set_ratio("a", "b"), kernels.token_sort_ratio("a", "b")).collect()
+    assert [tuple(r) for r in got[:3]] == [(None, None, None)] * 3 and got[3][1:] == (100, 100)
