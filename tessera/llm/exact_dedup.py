@@ -7,7 +7,8 @@ without a shuffle.
 
 The bitmaps are broadcast, so a filter has at most ``CELLS`` cells (32 MB). With
 more rows than that serves, hashes are cut into slices, each with a filter of its
-own, one after the other; nothing else changes with size.
+own. The filters of all slices are built in one job; the second pass then looks
+at one slice after the other. Nothing else changes with size.
 
 What shuffles in the first pass is one 8-byte cell a row, after partial counts.
 Partial bitmaps would be more: each task would send a whole filter, while a task's
@@ -53,17 +54,17 @@ class Filter:
         while cells < min(CELLS, -(-rows * CELLS_A_ROW // self.slices)):
             cells *= 2
         self.cells = cells
-        slice_, cell = self.place()
-        self.bits = []
-        for k in range(self.slices):
-            hit = keys.where(slice_ == k).select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-            bits = hit.groupBy(F.shiftright("cell", 15).alias("block")).agg(F.expr(f"bitmap_construct_agg(cell & {BLOCK - 1})").alias("bits"))
-            self.bits.append(common.cut(bits, "bloom"))
+        # One job for all slices: each slice's cells come after those of the one before.
+        hit = keys.select(self.place()[1].alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+        bits = hit.groupBy(F.shiftright("cell", 15).alias("block")).agg(F.expr(f"bitmap_construct_agg(cell & {BLOCK - 1})").alias("bits"))
+        self.bits = common.cut(bits, "bloom")
 
     def place(self) -> tuple[Column, Column]:
         """The slice and the cell of a row."""
         h = F.xxhash64(*self.key)
-        return F.pmod(h, F.lit(self.slices)), F.shiftrightunsigned(h, 24).bitwiseAND(self.cells - 1)
+        slice_ = F.pmod(h, F.lit(self.slices)).cast("long")
+        cell = F.shiftrightunsigned(h, 24).bitwiseAND(self.cells - 1)
+        return slice_, cell if self.slices == 1 else slice_ * F.lit(self.cells) + cell
 
     def flagged(self, rows: DataFrame, flag: str = FLAG) -> DataFrame:
         """``rows`` with a boolean column: true wherever a row's cell is kept."""
@@ -72,7 +73,9 @@ class Filter:
         byte = F.conv(F.hex(F.substring(data, F.shiftright(F.col(place).bitwiseAND(BLOCK - 1), 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         hit = F.getbit(byte, F.col(place).bitwiseAND(7).cast("int")) == 1
         parts = []
-        for k, bits in enumerate(self.bits):
+        blocks = self.cells // BLOCK
+        for k in range(self.slices):
+            bits = self.bits.where((F.col("block") >= k * blocks) & (F.col("block") < (k + 1) * blocks)) if self.slices > 1 else self.bits
             part = rows.where(slice_ == k) if self.slices > 1 else rows
             part = part.withColumn(place, cell).withColumn(at, F.shiftright(place, 15))
             part = part.join(F.broadcast(bits.select(F.col("block").alias(at), F.col("bits").alias(data))), at, "left")
