@@ -187,10 +187,11 @@ def zip_normalize(spark, sf):
     return B.bench_clean(records(spark, sf)).select("id", "zip5", "zip3")
 
 
-@query(
-    f"SELECT id, coalesce({oracle.cased(oracle.sq('state'), oracle.vocab.STATES)}, CASE WHEN upper({oracle.sq('state')}) IN ({oracle.listed(sorted(set(oracle.vocab.STATES.values())))}) THEN upper({oracle.sq('state')}) END) AS state FROM rec",
-    "rec",
-)
+_STATE_OF = f"coalesce({oracle.cased('{x}', oracle.vocab.STATES)}, CASE WHEN upper({{x}}) IN ({oracle.listed(sorted(set(oracle.vocab.STATES.values())))}) THEN upper({{x}}) END)"
+_STATE_SQL = f"SELECT id, {_STATE_OF.replace('{x}', oracle.sq('state'))} AS state FROM rec"
+
+
+@query(_STATE_SQL, "rec")
 def state_lookup(spark, sf):
     return records(spark, sf).select("id", text.state(F.col("state")).alias("state"))
 
@@ -198,16 +199,21 @@ def state_lookup(spark, sf):
 _SINGLE = "CASE WHEN length(t) > 3 AND t LIKE '%ies' THEN regexp_replace(t, 'ies$', 'y') WHEN length(t) > 3 AND t LIKE '%sses' THEN regexp_replace(t, 'es$', '') WHEN length(t) > 3 AND regexp_matches(t, 's$') AND NOT regexp_matches(t, '(ss|us|is)$') THEN regexp_replace(t, 's$', '') ELSE t END"
 
 
-@query(
+_CATEGORY_SQL = (
     f"SELECT id, CASE WHEN NOT {oracle.missing('category')} THEN coalesce({oracle.cased('sq', oracle.vocab.CATEGORIES)}, {oracle.cased('single', oracle.vocab.CATEGORIES)}, single) END AS category "
-    f"FROM (SELECT *, array_to_string(list_transform(string_split(sq, ' '), lambda t: {_SINGLE}), ' ') AS single FROM (SELECT *, {oracle.sq('category')} AS sq FROM rec))",
-    "rec",
+    f"FROM (SELECT *, array_to_string(list_transform(string_split(sq, ' '), lambda t: {_SINGLE}), ' ') AS single FROM (SELECT *, {oracle.sq('category')} AS sq FROM rec))"
 )
+
+
+@query(_CATEGORY_SQL, "rec")
 def category_crosswalk(spark, sf):
     return records(spark, sf).select("id", text.category(F.col("category")).alias("category"))
 
 
-@query("SELECT id, CASE WHEN lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180 THEN lat END AS lat, CASE WHEN lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180 THEN lon END AS lon FROM rec", "rec")
+_PLACE_SQL = "SELECT id, CASE WHEN lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180 THEN lat END AS lat, CASE WHEN lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180 THEN lon END AS lon FROM rec"
+
+
+@query(_PLACE_SQL, "rec")
 def lat_lon(spark, sf):
     lat, lon = text.lat_lon(F.col("lat").cast("string"), F.col("lon").cast("string"))
     return records(spark, sf).select("id", lat.alias("lat"), lon.alias("lon"))
@@ -232,9 +238,6 @@ def domain_extract(spark, sf):
     return table(spark, sf, "pages").select("page_id", host.alias("host"), F.when(host.isNotNull(), text.domain_suffix(host)).alias("suffix"))
 
 
-_STATE_OF = f"coalesce({oracle.cased('{x}', oracle.vocab.STATES)}, CASE WHEN upper({{x}}) IN ({oracle.listed(sorted(set(oracle.vocab.STATES.values())))}) THEN upper({{x}}) END)"
-
-
 def _address_sql() -> str:
     a, sq = address, oracle.sq
     given = f"CASE WHEN NOT {oracle.missing('state')} THEN {_STATE_OF.replace('{x}', sq('state'))} END"
@@ -808,12 +811,32 @@ def hard_negatives(spark, sf):
     return S.hard_negatives(scored(spark, sf), truth(spark, sf), 100)
 
 
-@query()
+_SILVER_SQL = (
+    f", adr AS ({_address_sql()}), sta AS ({_STATE_SQL}), cat AS ({_CATEGORY_SQL}), geo AS ({_PLACE_SQL}),"
+    + """ side AS (SELECT f.id, f.name_core, f.tokens[1] AS first, phone10, phone7, substring(f.zip5, 1, 3) AS zip3, adr.zip5, house_number, adr.city, sta.state, cat.category, geo.lat, geo.lon
+      FROM fields f JOIN adr ON adr.id = f.id JOIN sta ON sta.id = f.id JOIN cat ON cat.id = f.id JOIN geo ON geo.id = f.id),
+    sig AS (SELECT p.s1_id, p.id, bit_count(mask) AS n, jaro_winkler_similarity(nullif(a.name_core, ''), nullif(b.name_core, '')) AS jw,
+      2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) AS km,
+      coalesce(contains(a.name_core, b.name_core) OR contains(b.name_core, a.name_core), false)::INT::DOUBLE AS sub,
+      """
+    + ", ".join(f"(a.{c} = b.{c})::INT::DOUBLE AS {c}" for c in ("first", "phone10", "phone7", "zip3", "zip5", "house_number", "city", "state", "category"))
+    + """ FROM benchfound p JOIN side a ON a.id = p.s1_id JOIN side b ON b.id = p.id),
+    rule AS (SELECT *, least(1.0::DOUBLE, greatest(0.0::DOUBLE,
+      (0.45 * (coalesce(phone10, 0) + 0.5 * coalesce(phone7, 0)) + CASE WHEN jw > 0.93 THEN 0.30 WHEN jw > 0.85 THEN 0.18 ELSE 0 END + 0.20 * sub + 0.15 * coalesce(first, 0)
+        + 0.20 * least(1.0::DOUBLE, coalesce((km <= 1)::INT::DOUBLE, 0) + coalesce(zip5, 0)) + 0.10 * coalesce(house_number, 0) + 0.10 * coalesce(city, 0) + 0.05 * coalesce(category, 0) + 0.1::DOUBLE * n::DOUBLE / 7)
+      - (CASE WHEN km > 50 THEN 0.60 WHEN km > 10 THEN 0.25 ELSE 0 END::DOUBLE + 0.35 * coalesce(1 - zip3, 0) + 0.30 * coalesce(1 - state, 0) + 0.30 * coalesce(1 - city, 0) + 0.20 * coalesce(1 - house_number, 0)
+        + CASE WHEN jw < 0.55 THEN 0.25 ELSE 0 END))) AS score FROM sig),
+    silver AS (SELECT *, CASE stratum WHEN 'certain_match' THEN 1 WHEN 'certain_nonmatch' THEN 0 END AS silver_label FROM (SELECT *, CASE WHEN score >= 0.8::DOUBLE THEN 'certain_match' WHEN score <= 0.12::DOUBLE THEN 'certain_nonmatch'
+      WHEN phone10 > 0 OR jw > 0.90 OR (zip5 > 0 AND house_number > 0) THEN 'probable_match' ELSE 'ambiguous' END AS stratum FROM rule)) """
+)
+
+
+@query(_SILVER_SQL + "SELECT s1_id, id, round(score, 6) AS rule_score, stratum, silver_label FROM silver", "benchfound", "fields", "rec")
 def silver_labels(spark, sf):
     return S.silver_labels(_bench(spark, sf)).select("s1_id", "id", F.round("rule_score", 6).alias("rule_score"), "stratum", "silver_label")
 
 
-@query()
+@query(_SILVER_SQL + "SELECT stratum, count(*) AS n FROM silver GROUP BY stratum", "benchfound", "fields", "rec")
 def label_distribution(spark, sf):
     return S.label_distribution(S.silver_labels(_bench(spark, sf)))
 
@@ -840,7 +863,13 @@ def thinned_pairs(spark, sf):
     return S.thinned(scored(spark, sf), F.concat_ws("|", "s1_id", "id"), 10).select("s1_id", "src", "id")
 
 
-@query()
+@query(
+    _SILVER_SQL + """SELECT s1_id, id, stratum, NULL::INT AS label FROM (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5('42:' || s1_id || '|' || id), s1_id, id) AS p FROM silver)
+    WHERE p <= CASE stratum """ + " ".join(f"WHEN '{k}' THEN {n}" for k, n in S.SHEET.items()) + " END",
+    "benchfound",
+    "fields",
+    "rec",
+)
 def labeling_sheet(spark, sf):
     return S.labeling_sheet(S.silver_labels(_bench(spark, sf)))
 
