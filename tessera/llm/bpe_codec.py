@@ -41,7 +41,7 @@ class Codec(bpe.ChunkCodec):
     """Encoder and decoder with one word vocabulary."""
 
     def __init__(self, source: bytes):
-        super().__init__(source, speculated)
+        super().__init__(source, speculated, entries=300_000, most=24 << 20)
         size = max(self.bpe.tokens) + 1
         self.tokens = pa.array([self.bpe.tokens.get(i, "") for i in range(size)], pa.large_string())
         self.numbers = pa.array(list(map(str, range(size))), pa.large_string())
@@ -108,7 +108,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array([len(x) for x in ids], pa.int64()), lists, texts], [*b.schema.names[1:], "n_tokens", "ids", "decoded"])
 
     rows, kinds = _rows(docs, id_col, text_col, carry)
-    return rows.mapInArrow(run, f"{kinds}n_tokens long, ids array<int>, decoded string")
+    return rows.mapInArrow(common.tidied(run), f"{kinds}n_tokens long, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -126,7 +126,7 @@ def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
             )
 
     rows, kinds = _rows(docs, id_col, text_col, carry)
-    return rows.mapInArrow(run, f"{kinds}n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(common.tidied(run), f"{kinds}n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -142,4 +142,4 @@ def decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", carry: tuple[
 
     held = rows.select(common.col(ids_col).alias(common.private("ids")), *map(common.col, carry))
     kinds = "".join(f"{common.quoted(f.name)} {f.dataType.simpleString()}, " for f in held.schema.fields[1:])
-    return held.mapInArrow(run, f"{kinds}decoded string")
+    return held.mapInArrow(common.tidied(run), f"{kinds}decoded string")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -142,3 +144,18 @@ def rows_of(batches: Iterator, chars: int = 4_000_000) -> Iterator:
         step = max(1, min(n, int(n * chars / max(1, batch.nbytes)))) if n else 1
         for at in range(0, n, step):
             yield batch.slice(at, step)
+
+
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, after which its worker gives back memory that it no longer uses: workers stay for later stages."""
+
+    def through(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return through

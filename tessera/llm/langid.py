@@ -127,7 +127,7 @@ def learn(rows: DataFrame) -> Model:
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(total[at])], ["lang", "bucket", "n"])
 
-    found = rows.select(common.col("text"), common.col("lang")).where("text IS NOT NULL AND lang IS NOT NULL").mapInArrow(run, "lang string, bucket int, n long")
+    found = rows.select(common.col("text"), common.col("lang")).where("text IS NOT NULL AND lang IS NOT NULL").mapInArrow(common.tidied(run), "lang string, bucket int, n long")
     table = found.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     names, at = np.unique(np.array(table["lang"].to_pylist(), dtype=object), return_inverse=True) if table.num_rows else ([], [])
     counts = np.zeros((BUCKETS, len(names)))
@@ -150,7 +150,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: tuple[
     names = {c: common.private(f"carry_{k}") for k, c in enumerate(carry)}
     rows = docs.select(common.col(text_col).alias(common.private("text")), *(common.col(c).alias(x) for c, x in names.items()))
     kind = T.StructType([*rows.schema.fields[1:], T.StructField(common.private("lang"), T.StringType()), T.StructField(common.private("score"), T.DoubleType())])
-    found = rows.mapInArrow(run, kind)
+    found = rows.mapInArrow(common.tidied(run), kind)
     return found.select(*(F.col(x).alias(c) for c, x in names.items()), F.col(common.private("lang")).alias(lang_col), F.col(common.private("score")).alias(score_col))
 
 

@@ -69,7 +69,7 @@ def signatures(rows: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(prints[:, s].view(np.int64).copy()) for s in range(WORDS)), pa.array(bands, pa.list_(pa.int64()))], names)
 
     kinds = ", ".join(f"{w} long" for w in _PRINTS)
-    return rows.mapInArrow(run, f"node long, {kinds}, bands array<long>")
+    return rows.mapInArrow(common.tidied(run), f"node long, {kinds}, bands array<long>")
 
 
 def forest(codes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -118,7 +118,7 @@ def route_links(rows: DataFrame, radius: int, limit: int | None, lead: bool) ->
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), band[0])), pa.array(a), pa.array(b)], ["band", "a", "b"])
 
     dealt = rows.repartition("band", "part").sortWithinPartitions("band", "part", "rank", "node")
-    return dealt.select("band", "part", F.col("band").alias("same"), "node", *_PRINTS).mapInArrow(run, "band long, a long, b long")
+    return dealt.select("band", "part", F.col("band").alias("same"), "node", *_PRINTS).mapInArrow(common.tidied(run), "band long, a long, b long")
 
 
 def likely_links(signed: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataFrame:
@@ -162,7 +162,7 @@ def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
             out = [np.unique(shingle_hashes(t, shingle) >> np.uint64(24)).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["node", "shingles"])
 
-    return texts.mapInArrow(sets, "node long, shingles binary")
+    return texts.mapInArrow(common.tidied(sets), "node long, shingles binary")
 
 
 def checked(links: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
@@ -179,7 +179,7 @@ def checked(links: DataFrame, texts: DataFrame, shingle: int, threshold: float)
 
     held = common.cut(shingle_sets(texts, shingle), "shingles")
     a, b = (held.select(F.col("node").alias(x), F.col("shingles").alias(f"{x}_set")) for x in "ab")
-    return links.join(a, "a").join(b, "b").select("a", "b", "a_set", "b_set").mapInArrow(near, "a long, b long")
+    return links.join(a, "a").join(b, "b").select("a", "b", "a_set", "b_set").mapInArrow(common.tidied(near), "a long, b long")
 
 
 def links_across(labels: np.ndarray, sets: list[np.ndarray], bands: np.ndarray, band: int, sides: np.ndarray | None, threshold: float) -> tuple[list[int], list[int]]:
@@ -258,7 +258,7 @@ def missing_links(signed: DataFrame, classes: DataFrame, rows: DataFrame, shingl
     held = common.cut(shingle_sets(texts, shingle).join(signed.join(open_, "node", "left_semi").select("node", "bands"), "node"), "open-shingles")
     dealt = blocks(members, block).join(held, "node").repartition("k", "band", "low", "high").sortWithinPartitions("k", "band", "low", "high", "component", "node")
     across = (F.col("low") != F.col("high")).cast("int")
-    return dealt.select("k", "band", "low", "high", F.col("k").alias("column"), "part", across.alias("across"), "node", "component", "bands", "shingles").mapInArrow(run, "a long, b long")
+    return dealt.select("k", "band", "low", "high", F.col("k").alias("column"), "part", across.alias("across"), "node", "component", "bands", "shingles").mapInArrow(common.tidied(run), "a long, b long")
 
 
 def surplus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
