@@ -139,3 +139,23 @@ def test_readers(spark, tmp_path):
     s1 = spark.createDataFrame([("E1",), ("E2",)], "id string")
     with pytest.raises(AssertionError):
         sinks.assert_coverage(spark.createDataFrame([("E1", "x")], "s1_id string, ids string"), s1, "ids")
+
+
+def test_capped_pairs_where_they_meet(spark):
+    s1 = frame(spark, [(f"S1-{k:03d}", 0, f"Acme Widget {('Oak', 'Elm', 'Ash')[k % 3]} {k % 7}") for k in range(60)])
+    others = frame(spark, [(f"S2-{k}", 1, f"Acme Widget {('Oak', 'Elm', 'Fir')[k % 3]} {k % 5}") for k in range(12)])
+    # Some keys are hot, and most records have more pairs than the cap.
+    cfg = B.Blocking(rules=B.PREFIX | B.CITY_PREFIX | B.TOKEN, prefix_len=13, df_ratio=1.0, max_bucket=25, cap=5)
+    want = sorted(map(tuple, B.capped(B.pairs(s1, others, cfg), cfg.cap).collect()))
+    got = sorted(map(tuple, B.capped_pairs(s1, others, cfg).select("s1_id", "src", "id", "mask", "token_hits").collect()))
+    assert got == want and want
+
+
+def test_distances_are_computed_once_a_pair(spark):
+    from tessera.operators import features as X
+
+    s1, others = frame(spark, S1), frame(spark, [("S2-1", 1, "Zenith Clinic")])
+    cfg = B.Blocking(rules=B.PREFIX | B.TOKEN, df_ratio=1.0)
+    rows = X.composite(X.light_features(B.pairs(s1, others, cfg), s1, others), groups=X.LIGHT_GROUPS)
+    plan = rows.where("weighted_composite_score >= 0.1")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("levenshtein(") == 3
