@@ -159,3 +159,27 @@ def test_distances_are_computed_once_a_pair(spark):
     rows = X.composite(X.light_features(B.pairs(s1, others, cfg), s1, others), groups=X.LIGHT_GROUPS)
     plan = rows.where("weighted_composite_score >= 0.1")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("levenshtein(") == 3
+
+
+def test_edit_distances_side_by_side(spark):
+    import random
+
+    import numpy as np
+
+    from tessera.functions import kernels
+
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for k, d in enumerate(b, 1):
+                last, row[k] = row[k], min(row[k] + 1, row[k - 1] + 1, last + (c != d))
+        return row[-1]
+
+    draw = random.Random(1)
+    # Lengths around the words of 64 bits, letters beyond one byte.
+    left, right = (["".join(draw.choice("abé漢😀 ") for _ in range(draw.choice((0, 1, 9, 63, 64, 65, 129)))) for _ in range(n)] for n in (30, 40))
+    i, j = (np.array([draw.randrange(len(x)) for _ in range(400)]) for x in (left, right))
+    assert kernels.edit_distances(left, right, i, j).tolist() == [plain(left[x], right[y]) for x, y in zip(i, j, strict=True)]
+    rows = spark.createDataFrame([("kitten", "sitting", 3), ("", "abc", 3), ("é", "e", 1), ("a", None, None), (None, None, None), ("kitten", "sitting", 3)], "a string, b string, n int")
+    assert [r.d for r in rows.select("n", kernels.levenshtein("a", "b").alias("d")).collect()] == [3, 3, 1, None, None, 3]
