@@ -183,3 +183,21 @@ def test_edit_distances_side_by_side(spark):
     assert kernels.edit_distances(left, right, i, j).tolist() == [plain(left[x], right[y]) for x, y in zip(i, j, strict=True)]
     rows = spark.createDataFrame([("kitten", "sitting", 3), ("", "abc", 3), ("é", "e", 1), ("a", None, None), (None, None, None), ("kitten", "sitting", 3)], "a string, b string, n int")
     assert [r.d for r in rows.select("n", kernels.levenshtein("a", "b").alias("d")).collect()] == [3, 3, 1, None, None, 3]
+
+
+def test_cosines_once_a_pair_of_names(spark):
+    import math
+
+    from tessera.operators import features as X
+
+    names = [("a1", "red fox"), ("a2", "red fox"), ("b1", "red dog"), ("b2", "red dog"), ("b3", None), ("b4", "blue")]
+    records = spark.createDataFrame(names, "id string, name_norm string")
+    pairs = spark.createDataFrame([(a, b) for a in ("a1", "a2") for b in ("b1", "b2", "b3", "b4")], "s1_id string, id string")
+    rare, common = math.log(6 / 3) + 1, math.log(6 / 5) + 1
+    want = common**2 / (common**2 + 2 * rare**2)
+    cosines = X.tfidf_cosine(pairs, records)
+    got = {(r.s1_id, r.id): r.cosine for r in cosines.collect()}
+    assert got == {(a, b): pytest.approx(want if b in ("b1", "b2") else 0) for a in ("a1", "a2") for b in ("b1", "b2", "b3", "b4")}
+    # Vectors meet by name, not by record: no join of vectors is on a record's id.
+    plan = cosines._jdf.queryExecution().optimizedPlan().toString()
+    assert "a_name_norm" in plan and not any("Join" in line and "_id#" in line and "norm" not in line for line in plan.splitlines() if "_v#" in line)
