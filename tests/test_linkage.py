@@ -201,3 +201,15 @@ def test_cosines_once_a_pair_of_names(spark):
     # Vectors meet by name, not by record: no join of vectors is on a record's id.
     plan = cosines._jdf.queryExecution().optimizedPlan().toString()
     assert "a_name_norm" in plan and not any("Join" in line and "_id#" in line and "norm" not in line for line in plan.splitlines() if "_v#" in line)
+
+
+def test_stratified_split_without_sorting_all_rows(spark):
+    from pyspark.sql import Window as W
+
+    # Many rows of a label, repeated keys, a label with one row, and rows without a label.
+    rows = spark.range(3000).select((F.col("id") % 2900).cast("string").alias("k"), F.when(F.col("id") == 7, 2).when(F.col("id") % 11 != 0, (F.col("id") % 3 == 0).cast("int")).alias("label"))
+    place = F.percent_rank().over(W.partitionBy("label").orderBy(S.drawn(F.col("k"), 42)))
+    want = rows.withColumn("split", F.when(place < 0.6, "train").when(place < 0.8, "val").otherwise("test"))
+    got = S.stratified_split(rows, F.col("k"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "percent_rank" not in got._jdf.queryExecution().optimizedPlan().toString()
