@@ -213,3 +213,15 @@ def test_stratified_split_without_sorting_all_rows(spark):
     got = S.stratified_split(rows, F.col("k"))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert "percent_rank" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rates_of_nothing_are_null(spark):
+    s1 = spark.createDataFrame([("e1",), ("e2",)], "id string")
+    none = spark.createDataFrame([], "s1_id string, id string, src long")
+    true = spark.createDataFrame([("e1", "x", 1)], "s1_id string, id string, src long")
+    assert tuple(M.macro(s1, none, true).head()) == (0.5, None, 0.0, 1, 0.0)
+    assert tuple(M.macro(s1, true.select("s1_id", "id"), none).head()) == (0.5, 0.0, None, 1, 0.5)
+    got = M.run_score(s1, none, none, none).head()
+    assert (got.f05_macro, got.precision, got.recall, got.recall_ceiling) == (1.0, None, None, None)
+    table = spark.createDataFrame([], "match_status string, candidate_count long")
+    assert D.run_report(table).head().match_rate is None
