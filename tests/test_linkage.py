@@ -225,3 +225,43 @@ def test_rates_of_nothing_are_null(spark):
     assert (got.f05_macro, got.precision, got.recall, got.recall_ceiling) == (1.0, None, None, None)
     table = spark.createDataFrame([], "match_status string, candidate_count long")
     assert D.run_report(table).head().match_rate is None
+
+
+def test_fallback_pairs_where_they_meet(spark):
+    import bisect
+
+    # Several blocks of places, equal names on both sides, and places at both ends.
+    s1 = frame(spark, [(f"S1-{k:03d}", 0, f"{'Acme' if k < 90 else 'Zenith'} {chr(97 + k * 7 % 26)}{k * 13 % 50}") for k in range(180)])
+    others = frame(spark, [(f"S2-{k}", 1, f"{('Aaron', 'Acme', 'Zenith', 'Zz')[k % 4]} {chr(97 + k * 5 % 26)}{k % 50}") for k in range(60)])
+    order = sorted((r.name_core, r.id) for r in s1.collect())
+    want = set()
+    for r in others.collect():
+        low = bisect.bisect_left(order, (r.name_core,))
+        want |= {(order[p][1], r.id, p - low) for p in range(max(0, low - 15), min(len(order), low + 16))}
+    near = B.neighborhood(s1, others, 15, ("address",))
+    got = [(r.s1_id, r.id, r.gap) for r in near.where("a_address IS NOT NULL AND b_address IS NOT NULL").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    # Pairs are made after the last shuffle, and none of them is sorted or shuffled again.
+    plan = B.fallback_pairs(s1, others, B.Blocking(), ("address",))._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Window" in x or "Aggregate" in x for x in plan[: plan.index("Join")].splitlines())
+    # Records without a pair are told by their keys alone.
+    cfg = B.Blocking(rules=B.PREFIX | B.TOKEN | B.PHONETIC, df_ratio=0.02, max_bucket=60)
+    lost = others.join(B.pairs(s1, others, cfg).select("id").distinct(), "id", "left_anti")
+    assert sorted(r.id for r in B.without_pairs(s1, others, cfg).collect()) == sorted(r.id for r in lost.collect()) != []
+
+
+def test_synthetic_linkage_scores_where_pairs_meet(spark):
+    from tessera import catalog
+    from tessera.operators import features as X
+    from tessera.sources import synth
+    from tessera.sources.staging import stage
+
+    clean = stage(B.clean(synth.generate(spark, 150)[0]))
+    cfg = B.Blocking(df_ratio=0.05, max_bucket=4, cap=5)
+    s1, others = clean.where("src = 0"), clean.where("src > 0")
+    first = stage(B.capped(B.pairs(s1, others, cfg), cfg.cap))
+    every = first.select("s1_id", "src", "id", "mask").unionByName(B.fallback(s1, others, first, cfg))
+    pairs = X.composite(X.entity_features(every, s1, others)).withColumn("score", F.col("weighted_composite_score"))
+    want = D.decisions(pairs, D.Decision()).where("match_status = 'matched'").select("matched_s1_id", "id")
+    got = catalog.linked(clean, cfg)[1]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
