@@ -27,13 +27,13 @@ def fit(rows: DataFrame, features: list[str], rounds: int = 20, seed: int = 42)
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="vector"), trees]).fit(labelled)
 
 
-def score(model: PipelineModel, rows: DataFrame, features: list[str]) -> DataFrame:
-    """(s1_id, src, id, probability) of all rows; a missing feature column is an error."""
+def score(model: PipelineModel, rows: DataFrame, features: list[str], *more: str) -> DataFrame:
+    """(s1_id, src, id, probability) of all rows; ``more`` columns stay, a missing feature column is an error."""
     lacking = [f for f in features if f not in rows.columns]
     if lacking:
         raise ValueError(f"missing feature columns: {lacking}")
     out = model.transform(encoded(rows, features))
-    return out.select("s1_id", "src", "id", vector_to_array("probability")[1].alias("probability"))
+    return out.select("s1_id", "src", "id", vector_to_array("probability")[1].alias("probability"), *more)
 
 
 def importances(model: PipelineModel, features: list[str]) -> list[tuple[str, float]]:
