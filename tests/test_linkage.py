@@ -265,3 +265,16 @@ def test_synthetic_linkage_scores_where_pairs_meet(spark):
     want = D.decisions(pairs, D.Decision()).where("match_status = 'matched'").select("matched_s1_id", "id")
     got = catalog.linked(clean, cfg)[1]
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+
+
+def test_each_distinct_text_is_cleaned_once(spark):
+    """Records cleaned by distinct names and addresses are those cleaned one by one: NULL, empty and repeated texts too."""
+    texts = ["The Acme Shop, LLC", "N/A", "", None, "Café Ünï", "  acme  "]
+    places = ["12 N Main St, Austin, TX 78701", "-", None, "", "Near City Hall, Bengaluru, Karnataka 560001"]
+    data = [(f"r{k}", k % 3, texts[k % 6], places[k % 5], [None, "US", "N/A"][k % 3]) for k in range(90)]
+    rows = spark.createDataFrame(data, "id string, src int, name string, address string, country string")
+    once, each = B.clean_distinct(rows), B.clean(rows)
+    assert once.columns == each.columns
+    assert sorted(map(str, once.collect())) == sorted(map(str, each.collect())) and once.count() == 90
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2
